@@ -3,7 +3,7 @@
 from sparkprep.functions.columns import column
 from sparkprep.functions.dates import as_timestamp, day_difference
 from sparkprep.functions.digests import DIGEST_BUCKETS, digest_bucket, key_digest
-from sparkprep.functions.text import term_counts, tokens
+from sparkprep.functions.text import tokens
 
 __all__ = [
     "DIGEST_BUCKETS",
@@ -12,6 +12,5 @@ __all__ = [
     "day_difference",
     "digest_bucket",
     "key_digest",
-    "term_counts",
     "tokens",
 ]

@@ -1,4 +1,4 @@
-"""Word splitting and per-row word counts, without leaving the row."""
+"""Word splitting."""
 
 from __future__ import annotations
 
@@ -16,25 +16,3 @@ def tokens(text: Column) -> Column:
     trimmed = F.rtrim(lowered, F.lit(" \t\n\x0b\f\r"))
     only_space = (trimmed == "") & (lowered != "")
     return F.when(only_space, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s"))
-
-
-def term_counts(sorted_words: Column) -> Column:
-    """``array<struct<term, tf>>`` of an array of words that is already sorted.
-
-    The counts are the lengths of the runs of equal words, so a long text costs one sort and one
-    pass, and counting words per document needs no shuffle. Pass a plain column, not an
-    expression: it is read once per word.
-    """
-    size = F.size(sorted_words)
-    starts = F.filter(
-        F.sequence(F.lit(1), size),
-        lambda i: (i == 1) | (F.get(sorted_words, i - 1) != F.get(sorted_words, i - 2)),
-    )
-    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(size + 1))
-    runs = F.zip_with(
-        starts,
-        ends,
-        lambda a, b: F.struct(F.get(sorted_words, a - 1).alias("term"), (b - a).alias("tf")),
-    )
-    empty = F.array().cast("array<struct<term:string,tf:int>>")
-    return F.when(size > 0, runs).otherwise(empty)

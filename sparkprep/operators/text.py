@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.functions import column, term_counts, tokens
+from sparkprep.functions import column, tokens
 from sparkprep.operators.categories import attach
 from sparkprep.workspace import settle
 
@@ -16,31 +16,38 @@ def tokenise(df: DataFrame, text: str, output: str = "words") -> DataFrame:
     return df.withColumn(output, tokens(column(text)))
 
 
+def _words(text: str) -> Column:
+    return F.filter(tokens(column(text)), lambda word: word != "")
+
+
 def term_frequencies(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, term, tf)``, without the empty term. Words are counted inside the row: no shuffle."""
-    words = F.sort_array(F.filter(tokens(column(text)), lambda w: w != ""))
-    return (
-        df.select(column(key), words.alias("_words"))
-        .select(column(key), term_counts(F.col("_words")).alias("_terms"))
-        .select(column(key), F.inline("_terms"))
-    )
+    """``(key, term, tf)``, without the empty term.
+
+    A text's words meet in the task that holds it, so what is shuffled is already counted.
+    """
+    words = df.select(column(key), F.explode(_words(text)).alias("term"))
+    return words.groupBy(column(key), "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def document_frequencies(term_table: DataFrame) -> DataFrame:
-    """``(category, n)``: the number of documents that hold each term, given one row per both."""
-    return term_table.groupBy(F.col("term").alias("category")).agg(F.count(F.lit(1)).alias("n"))
+def document_frequencies(df: DataFrame, text: str) -> DataFrame:
+    """``(category, n)``: how many texts hold each term.
+
+    Repeats go inside the row, so only counted terms are shuffled, not pairs of key and term.
+    """
+    terms = df.select(F.explode(F.array_distinct(_words(text))).alias("category"))
+    return terms.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
 
 
 def tfidf_terms(df: DataFrame, key: str, text: str, **bounds) -> DataFrame:
     """``(key, term, tf, df, idf, tfidf)`` with ``idf = ln((documents + 1) / (df + 1))``.
 
-    Stop words are the hot keys here. The document frequencies tell which they are, so
+    Stop words are the hot keys of the lookup. The document frequencies tell which they are, so
     :func:`attach` broadcasts them and shuffles the long tail when the vocabulary is large.
+    ``df`` must hold one row per key.
     """
-    terms = term_frequencies(df, key, text)
-    vocabulary = settle(document_frequencies(terms), "document-frequency")
+    vocabulary = settle(document_frequencies(df, text), "document-frequencies")
     documents = F.lit(df.count()).cast("double")
-    found = attach(terms, "term", vocabulary, {"n": "df"}, **bounds)
+    found = attach(term_frequencies(df, key, text), "term", vocabulary, {"n": "df"}, **bounds)
     idf = F.log((documents + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return found.withColumn("idf", idf).withColumn("tfidf", F.col("tf") * F.col("idf"))
 

@@ -230,7 +230,7 @@ ORACLE: dict[str, str] = {
             if c not in ("complaint_id", "company_public_response"))} from complaints"""
     ),
     "val_unique_profile": on_complaints(
-        profile_row("count(distinct {{c}}) + max(case when {{c}} is null then 1 else 0 end) n_unique,")
+        profile_row("count(distinct {c}) + max(case when {c} is null then 1 else 0 end) n_unique,")
     ),
     "val_labelled": on_complaints(
         "select complaint_id, consumer_disputed from complaints where consumer_disputed is not null"

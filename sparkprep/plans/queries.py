@@ -339,8 +339,7 @@ def feat_tokens(spark, sf_dir):
 
 @query
 def feat_term_freq(spark, sf_dir):
-    counted = text.term_frequencies(table(spark, sf_dir, "documents"), "doc_id", "text")
-    return counted.select("doc_id", "term", F.col("tf").cast("long").alias("tf"))
+    return text.term_frequencies(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query
