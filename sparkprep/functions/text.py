@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+WHITESPACE = " \t\n\x0b\f\r"
+
 
 def tokens(text: Column) -> Column:
     """Lower-cased words between single whitespace characters.
@@ -12,7 +14,8 @@ def tokens(text: Column) -> Column:
     Leading and inner empty words stay, trailing ones go, and an empty text gives one empty word,
     as ``pyspark.ml.feature.Tokenizer`` has it. NULL counts as the empty text.
     """
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    trimmed = F.rtrim(lowered, F.lit(" \t\n\x0b\f\r"))
-    only_space = (trimmed == "") & (lowered != "")
-    return F.when(only_space, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s"))
+    given = F.coalesce(text, F.lit(""))
+    trimmed = F.rtrim(given, F.lit(WHITESPACE))
+    only_space = (trimmed == "") & (given != "")
+    words = F.split(F.lower(trimmed), f"[{WHITESPACE}]")
+    return F.when(only_space, F.array().cast("array<string>")).otherwise(words)

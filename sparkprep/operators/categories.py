@@ -117,6 +117,10 @@ def index_labels(counts: DataFrame, small: int = MAX_BROADCAST_ROWS) -> DataFram
     return known.withColumn("position", (F.row_number().over(window) - 1).cast("long"))
 
 
+def _tail_key(text: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), text), F.lit("?"))
+
+
 def attach(
     df: DataFrame,
     key: str,
@@ -165,19 +169,18 @@ def attach(
         *(F.col(out).alias(f"_hot_{out}") for out in values.values()),
     )
     tail = picked.where(F.col("_n") <= hot_floor).select(
-        F.col("_category"),
-        F.lit(0).alias("_lane"),
+        _tail_key(F.col("_category")).alias("_tail_key"),
         F.lit(True).alias("_is_tail"),
         *values.values(),
     )
     marked = df.join(F.broadcast(hot), text.eqNullSafe(F.col("_hot_category")), "left")
     hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-    spread = F.pmod(F.xxhash64(*(column(c) for c in hashable)), F.lit(4096)).cast("int") + 1
-    marked = marked.withColumn("_row_lane", F.when(F.col("_is_hot"), spread).otherwise(0))
-    joined = marked.join(
-        tail,
-        (F.col("_row_lane") == F.col("_lane")) & text.eqNullSafe(F.col("_category")),
-        "left",
+    lane = F.pmod(F.xxhash64(*(column(c) for c in hashable)), F.lit(4096)).cast("string")
+    # The lane is part of the text: as a key of its own the optimizer would fold it to a filter,
+    # since all tail rows share one value of it.
+    row_key = F.when(F.col("_is_hot"), F.concat(F.lit("#"), lane)).otherwise(_tail_key(text))
+    joined = marked.withColumn("_row_key", row_key).join(
+        tail, F.col("_row_key") == F.col("_tail_key"), "left"
     )
     if how == "inner":
         joined = joined.where(F.col("_is_hot") | F.col("_is_tail"))

@@ -16,16 +16,18 @@ def tokenise(df: DataFrame, text: str, output: str = "words") -> DataFrame:
     return df.withColumn(output, tokens(column(text)))
 
 
-def _words(text: str) -> Column:
-    return F.filter(tokens(column(text)), lambda word: word != "")
-
-
 def term_frequencies(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, term, tf)``, without the empty term.
+    """``(key, term, tf)``, without the empty term, given one row per key.
 
-    A text's words meet in the task that holds it, so what is shuffled is already counted.
+    The raw text is shuffled by key, which is less data than the words it splits into. Spark then
+    finds the words already clustered by key and term and counts them without another shuffle.
     """
-    words = df.select(column(key), F.explode(_words(text)).alias("term"))
+    words = (
+        df.select(column(key), column(text))
+        .repartition(column(key))
+        .select(column(key), F.explode(tokens(column(text))).alias("term"))
+        .where(F.col("term") != "")
+    )
     return words.groupBy(column(key), "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -34,8 +36,12 @@ def document_frequencies(df: DataFrame, text: str) -> DataFrame:
 
     Repeats go inside the row, so only counted terms are shuffled, not pairs of key and term.
     """
-    terms = df.select(F.explode(F.array_distinct(_words(text))).alias("category"))
-    return terms.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    terms = df.select(F.explode(F.array_distinct(tokens(column(text)))).alias("category"))
+    return (
+        terms.where(F.col("category") != "")
+        .groupBy("category")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
 
 
 def tfidf_terms(df: DataFrame, key: str, text: str, **bounds) -> DataFrame:
@@ -43,7 +49,6 @@ def tfidf_terms(df: DataFrame, key: str, text: str, **bounds) -> DataFrame:
 
     Stop words are the hot keys of the lookup. The document frequencies tell which they are, so
     :func:`attach` broadcasts them and shuffles the long tail when the vocabulary is large.
-    ``df`` must hold one row per key.
     """
     vocabulary = settle(document_frequencies(df, text), "document-frequencies")
     documents = F.lit(df.count()).cast("double")

@@ -211,8 +211,9 @@ def val_labelled(spark, sf_dir):
 
 @query
 def feature_table_query(spark, sf_dir):
+    """Over the written table, so that its three passes do not repeat the joins behind it."""
     needed = (KEY, COMPLAINTS.date_start, COMPLAINTS.date_end, *COMPLAINTS.one_hot)
-    features = feature_table(complaints(spark, sf_dir, *needed), COMPLAINTS)
+    features = feature_table(settle(complaints(spark, sf_dir, *needed), "accepted"), COMPLAINTS)
     return features.withColumns({c: F.round(c, 6) for c in COMPLAINTS.imputed_numeric})
 
 
