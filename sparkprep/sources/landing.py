@@ -55,8 +55,12 @@ def unwrap_text(df: DataFrame, text: str, payload: T.StructType, *keep: str) ->
 
 
 def corrupt(landed: DataFrame) -> DataFrame:
-    """``(file, content, partly_parsed)`` of what was not JSON or did not fit the schema."""
-    return landed.where(F.col(CORRUPT).isNotNull()).select(
+    """``(file, content, partly_parsed)`` of what was not JSON or did not fit the schema.
+
+    Spark refuses to scan for the corrupt column alone, so the filter always reads the envelope too.
+    """
+    payload_read = F.col(ENVELOPE).isNull() | F.col(ENVELOPE).isNotNull()
+    return landed.where(F.col(CORRUPT).isNotNull() & payload_read).select(
         F.col("_file").alias("file"),
         F.col(CORRUPT).alias("content"),
         F.col(ENVELOPE).isNotNull().alias("partly_parsed"),
