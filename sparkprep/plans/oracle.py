@@ -142,6 +142,102 @@ def profile_row(extra: str) -> str:
     )
 
 
+# The constants of the public 32-bit MurmurHash3, and the seed and width hashing uses.
+MASK = 4294967295
+C1, C2, C5 = 3432918353, 461845907, 3864292196
+F1, F2 = 2246822507, 3266489909
+SEED = 42
+HASHED_WIDTH = 40
+
+
+def hashed_words(source: str) -> str:
+    """Views that give each distinct ``term`` of ``source`` its hash ``bucket``."""
+    return f"""word_bytes as (
+    select term, octet_length(encode(term)) len,
+           list_transform(range(0, octet_length(encode(term))), lambda i:
+               cast('0x' || substr(hex(encode(term)), cast(2 * i + 1 as bigint), 2) as ubigint)) b
+    from (select distinct term from {source})),
+word_blocks as (
+    select term, len, len // 4 blocks,
+           list_transform(range(0, cast(ceil(len / 4.0) as bigint)), lambda i: list_sum(list_transform(
+               range(4 * i, least(4 * i + 4, len)), lambda j: b[j + 1] << cast(8 * (j - 4 * i) as ubigint))))
+               k0
+    from word_bytes),
+word_k1 as (
+    select term, len, blocks, list_transform(k0, lambda k: (cast(k as ubigint) * {C1}::ubigint) & {MASK}::ubigint) k
+    from word_blocks),
+word_k2 as (
+    select term, len, blocks,
+           list_transform(k, lambda x: ((((x << 15) | (x >> 17)) & {MASK}::ubigint) * {C2}::ubigint) & {MASK}::ubigint) k
+    from word_k1),
+word_body as (
+    select term, len, k, blocks, list_reduce(k[1:blocks], lambda h, x:
+        (((((xor(h, x) << 13) | (xor(h, x) >> 19)) & {MASK}::ubigint) * 5::ubigint) + {C5}::ubigint) & {MASK}::ubigint,
+        {SEED}::ubigint) h
+    from word_k2),
+word_h1 as (
+    select term, xor(xor(h, coalesce(k[blocks + 1], 0::ubigint)), cast(len as ubigint)) h from word_body),
+word_h2 as (select term, (xor(h, h >> 16) * {F1}::ubigint) & {MASK}::ubigint h from word_h1),
+word_h3 as (select term, (xor(h, h >> 13) * {F2}::ubigint) & {MASK}::ubigint h from word_h2),
+word_h4 as (select term, cast(xor(h, h >> 16) as bigint) h from word_h3),
+hashed as (
+    select term, cast(((case when h > 2147483647 then h - 4294967296 else h end) % {HASHED_WIDTH}
+        + {HASHED_WIDTH}) % {HASHED_WIDTH} as integer) bucket from word_h4)"""
+
+
+DOCUMENT_WORDS = f"""words as (
+select doc_id, unnest(regexp_split_to_array({TRIMMED}, '{SPACE}')) term from documents)"""
+DOCUMENT_BUCKETS = f"""{DOCUMENT_WORDS},
+{hashed_words('words')},
+tfs as (select doc_id, bucket, cast(count(*) as double) tf from words join hashed using (term)
+        group by doc_id, bucket)"""
+
+
+def features(body: str) -> str:
+    """``entries(complaint_id, position, value)``: the non-zero entries of the assembled vectors.
+
+    Everything is fitted on the training side and applied to all rows.
+    """
+    trained = "(select * from diffed where train)"
+    indexes = [index_view(f"s_{c}", "(select * from filled where train)", f"im_{c}") for c in ONE_HOT]
+    modes = [
+        f"""mode_{c} as (select {c} v from {trained} where {c} is not null
+        group by {c} order by count(*) desc, {c} limit 1)"""
+        for c in ONE_HOT
+    ]
+    widths = [f"(select count(*) from s_{c})" for c in ONE_HOT]
+    offsets = ["0", widths[0], f"{widths[0]} + {widths[1]}", " + ".join(widths)]
+    one_hots = " union all ".join(
+        f"""select complaint_id, train, s_{c}.position + {offset} as "position", 1.0::double value
+        from filled join s_{c} on s_{c}.v = im_{c}"""
+        for c, offset in zip(ONE_HOT, offsets)
+    )
+    return on_complaints(
+        body,
+        f"""diffed as (select *, {IN_TRAIN} train,
+            abs(epoch(date_received) - epoch(date_sent_to_company)) / cast(86400 as double) diff
+            from complaints)""",
+        *modes,
+        f"""filled as (select complaint_id, train, issue, {IMPUTED},
+            coalesce(diff, (select avg(diff) from {trained})) im_diff from diffed)""",
+        *indexes,
+        f"""words as (select complaint_id, train, unnest(regexp_split_to_array(
+            {TRIMMED.replace("text", "coalesce(issue, '')")}, '{SPACE}')) term from filled)""",
+        hashed_words("words"),
+        """tfs as (select complaint_id, train, bucket, cast(count(*) as double) tf
+            from words join hashed using (term) group by complaint_id, train, bucket)""",
+        """idfs as (select bucket, ln(((select count(*) from filled where train) + 1)
+            / cast(sum(case when train then 1 else 0 end) + 1 as double)) idf from tfs group by bucket)""",
+        f"""entries as ({one_hots}
+            union all select complaint_id, train, {offsets[3]}, im_diff from filled where im_diff <> 0
+            union all select complaint_id, train, {offsets[3]} + 1 + bucket, tf * idf
+            from tfs join idfs using (bucket) where tf * idf <> 0)""",
+        """deviations as (select "position",
+            sqrt(greatest(0, (sum(value * value) - sum(value) * sum(value) / n) / (n - 1))) deviation
+            from entries, (select count(*) n from filled where train) where train group by "position", n)""",
+    )
+
+
 MATRIX = """matrix as (select cast(quality as double) label, cast(toxic as double) prediction,
     count(*) n from labels group by 1, 2)"""
 RATED = f"""with {MATRIX},
@@ -285,6 +381,22 @@ ORACLE: dict[str, str] = {
         select doc_id, term, round(tf * ln(((select count(*) from documents) + 1)
             / cast(n + 1 as double)), 6) tfidf
         from terms join df using (term)""",
+    "feat_hashing_tf": f"with {DOCUMENT_BUCKETS} select doc_id, bucket, tf from tfs",
+    "feat_tfidf_hashed": f"""with {DOCUMENT_BUCKETS},
+        idfs as (select bucket, ln(((select count(*) from documents) + 1)
+            / cast(count(*) + 1 as double)) idf from tfs group by bucket)
+        select doc_id, bucket, round(tf * idf, 6) tfidf from tfs join idfs using (bucket)
+        where tf * idf <> 0""",
+    "feat_assembled": features(
+        """select complaint_id, cast("position" as integer) as "position", round(value, 6) value
+        from entries"""
+    ),
+    "feature_vectors": features(
+        """select complaint_id, consumer_disputed, cast("position" as integer) as "position",
+        round(value / deviation, 6) value
+        from entries join deviations using ("position") join complaints using (complaint_id)
+        where deviation > 0"""
+    ),
     "split_train_test": on_complaints(
         f"""select complaint_id, case when {IN_TRAIN} then 'train' else 'test' end side
         from complaints"""

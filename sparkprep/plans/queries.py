@@ -375,19 +375,23 @@ def _features(spark, sf_dir):
     return feature_stages(COMPLAINTS).fit(train), df
 
 
+def _entries(df: DataFrame, vector: str, *keep: str) -> DataFrame:
+    """The non-zero entries of a vector column, one to a row."""
+    long = df.select(*keep, F.posexplode(vector_to_array(vector)).alias("position", "value"))
+    return long.where(F.col("value") != 0).select(*keep, "position", *rounded("value"))
+
+
 @query
 def feat_assembled(spark, sf_dir):
     model, df = _features(spark, sf_dir)
-    vector = vector_to_array(COMPLAINTS.assembled)
-    return model.transform(df).select(KEY, vector.alias(COMPLAINTS.assembled))
+    return _entries(model.transform(df), COMPLAINTS.assembled, KEY)
 
 
 @query
 def feature_vectors(spark, sf_dir):
     model, df = _features(spark, sf_dir)
     vectors = apply_features(model, df, COMPLAINTS, KEY)
-    array = vector_to_array(COMPLAINTS.scaled)
-    return vectors.withColumn(COMPLAINTS.scaled, array)
+    return _entries(vectors, COMPLAINTS.scaled, KEY, COMPLAINTS.target)
 
 
 # --- splits, samples and unions --------------------------------------------------------------

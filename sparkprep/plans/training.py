@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkprep.functions import as_timestamp
 from sparkprep.operators import sampling, validate, windows
 from sparkprep.plans.features import apply_features, feature_stages
 from sparkprep.schema import COMPLAINTS, SchemaSpec
@@ -52,6 +53,7 @@ class RunConfig:
 class Ingested:
     store: str
     quarantine: str
+    undated: str
     from_date: date
     to_date: date
 
@@ -72,8 +74,10 @@ class Transformed:
 def ingest(spark: SparkSession, config: RunConfig) -> Ingested:
     """Append the landed records of the next date range to the store, then move the watermark.
 
-    The watermark moves only after both writes have committed, and loading a range again adds
-    nothing, so a run that failed half-way is simply repeated.
+    Text that is no JSON goes to the quarantine, and records whose date cannot be read to the
+    undated table, since no date range will ever hold them. The watermark moves only after all
+    writes have committed, and loading a range again adds nothing, so a run that failed half-way is
+    simply repeated.
     """
     spec = config.spec
     first, last = windows.resolve_span(
@@ -82,15 +86,20 @@ def ingest(spark: SparkSession, config: RunConfig) -> Ingested:
         config.min_start,
         watermark.latest(spark, config.watermark),
     )
-    done = Ingested(config.store, config.output("quarantine"), first, last)
+    done = Ingested(
+        config.store, config.output("quarantine"), config.output("undated"), first, last
+    )
     if first >= last:
         return done
     landed = landing.read_landing(spark, config.landing, spec.landing, config.whole_files)
-    records = landing.typed(landing.unwrap(landed), spec)
+    payloads = landing.unwrap(landed)
+    records = landing.typed(payloads, spec)
     store.append_to_store(
         windows.time_slice(records, spec.date_end, first, last), config.store, spec.key, spec.date_end
     )
     landing.corrupt(landed).write.mode("overwrite").parquet(done.quarantine)
+    undated = payloads.where(as_timestamp(spec.date_end).isNull())
+    undated.write.mode("overwrite").parquet(done.undated)
     watermark.advance(spark, config.watermark, first, last, config.store)
     return done
 

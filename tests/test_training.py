@@ -72,6 +72,9 @@ def test_corrupt_landing_goes_to_quarantine(spark, tmp_path):
     run = config(tmp_path, "r1", to_date=date(2023, 7, 15))
     land(spark, run.landing, 0, 50)
     (tmp_path / "landing" / "throttled.json").write_text("Expected available in 42 seconds.\n")
+    undated = '{"_source": {"complaint_id": "x", "date_received": "soon"}}\n'
+    (tmp_path / "landing" / "undated.json").write_text(undated)
     done = training.ingest(spark, run)
     assert spark.read.parquet(done.quarantine).count() == 1
+    assert [r["complaint_id"] for r in spark.read.parquet(done.undated).collect()] == ["x"]
     assert store.read_table(spark, run.store).count() == 50
