@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -11,6 +13,7 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StandardScaler,
     StringIndexer,
+    StringIndexerModel,
     Tokenizer,
     VectorAssembler,
 )
@@ -27,7 +30,11 @@ from sparkprep.operators.categories import (
     modes,
 )
 from sparkprep.operators.numeric import impute_means
-from sparkprep.operators.stages import DerivedFeatureGenerator, FrequencyImputer
+from sparkprep.operators.stages import (
+    DerivedFeatureGenerator,
+    FrequencyImputer,
+    FrequencyImputerModel,
+)
 from sparkprep.schema import SchemaSpec
 from sparkprep.workspace import settle
 
@@ -44,7 +51,7 @@ def feature_table(df: DataFrame, spec: SchemaSpec, *categories: str) -> DataFram
     counts = settle(category_counts(df, names), "category-counts")
     values = modes(counts)
     folded = fold_missing(counts, values).withColumn("column", F.concat(F.lit("im_"), "column"))
-    labels = settle(index_labels(folded), "labels")
+    labels = settle(index_labels(settle(folded, "folded-counts")), "labels")
     base = df.select(
         column(spec.key),
         day_difference(spec.date_start, spec.date_end).alias(spec.day_difference),
@@ -55,28 +62,41 @@ def feature_table(df: DataFrame, spec: SchemaSpec, *categories: str) -> DataFram
     return encode_index(filled, labels, {f"im_{c}": f"si_{c}" for c in names})
 
 
-def feature_stages(spec: SchemaSpec, unseen: str = "keep", text_width: int = HASHED_TEXT_WIDTH) -> Pipeline:
+def feature_stages(
+    spec: SchemaSpec,
+    unseen: str = "keep",
+    text_width: int = HASHED_TEXT_WIDTH,
+    imputer: FrequencyImputer | FrequencyImputerModel | None = None,
+    indexers: Sequence[StringIndexer | StringIndexerModel] = (),
+) -> Pipeline:
     """Day difference, fills, indexing, one-hot, hashed TF-IDF, assembly and scaling.
 
     ``unseen`` is what indexing does with a category it was not fitted on: ``keep`` gives it a
-    bucket of its own, ``error`` fails. Missing text counts as empty.
+    bucket of its own, ``error`` fails. Missing text counts as empty. ``imputer`` and ``indexers``
+    stand in for the category stages, for instance fitted ones.
     """
     text = f"_filled_{spec.text}"
     filled_text = SQLTransformer(
         statement=f"SELECT *, coalesce(`{spec.text}`, '') AS `{text}` FROM __THIS__"
     )
+    imputer = imputer or FrequencyImputer(
+        inputCols=list(spec.one_hot), outputCols=list(spec.imputed_one_hot)
+    )
+    indexers = indexers or [
+        StringIndexer(
+            inputCols=list(spec.imputed_one_hot),
+            outputCols=list(spec.indexed_one_hot),
+            handleInvalid=unseen,
+        )
+    ]
     return Pipeline(
         stages=[
             DerivedFeatureGenerator(
                 inputCols=[spec.date_start, spec.date_end], outputCols=list(spec.numeric)
             ),
             Imputer(inputCols=list(spec.numeric), outputCols=list(spec.imputed_numeric)),
-            FrequencyImputer(inputCols=list(spec.one_hot), outputCols=list(spec.imputed_one_hot)),
-            StringIndexer(
-                inputCols=list(spec.imputed_one_hot),
-                outputCols=list(spec.indexed_one_hot),
-                handleInvalid=unseen,
-            ),
+            imputer,
+            *indexers,
             OneHotEncoder(
                 inputCols=list(spec.indexed_one_hot), outputCols=list(spec.encoded_one_hot)
             ),
@@ -92,6 +112,38 @@ def feature_stages(spec: SchemaSpec, unseen: str = "keep", text_width: int = HAS
     )
 
 
+def fit_features(
+    train: DataFrame,
+    spec: SchemaSpec,
+    unseen: str = "keep",
+    text_width: int = HASHED_TEXT_WIDTH,
+) -> PipelineModel:
+    """The model that ``feature_stages(...).fit(train)`` gives, with fewer passes over ``train``.
+
+    Modes and index labels of all the categories come from one distributed count instead of two
+    passes. Only the labels reach the driver, as many as the one-hot vectors are wide.
+    """
+    names = list(spec.one_hot)
+    counts = settle(category_counts(train, names), "category-counts")
+    values = modes(counts)
+    empty = [c for c in names if c not in values]
+    if empty:
+        raise ValueError(f"no value to impute from in {empty}")
+    imputer = FrequencyImputerModel(inputCols=names, outputCols=list(spec.imputed_one_hot))
+    imputer.setTopCategorys([values[c] for c in names])
+
+    ordered = settle(index_labels(settle(fold_missing(counts, values), "folded-counts")), "labels")
+    labels: dict[str, list[str]] = {c: [] for c in names}
+    for row in ordered.orderBy("column", "position").collect():
+        labels[row["column"]].append(row["category"])
+    # One model per column: a shared one pads label lists of different lengths with nulls.
+    indexers = [
+        StringIndexerModel.from_labels(labels[c], f"im_{c}", f"si_{c}", handleInvalid=unseen)
+        for c in names
+    ]
+    return feature_stages(spec, unseen, text_width, imputer, indexers).fit(train)
+
+
 def apply_features(model: PipelineModel, df: DataFrame, spec: SchemaSpec, *keep: str) -> DataFrame:
     """The scaled vector and, where the table has it, the label, next to the columns in ``keep``."""
     label = [column(spec.target)] if spec.target in df.columns else []

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sparkprep.functions import as_timestamp, column, day_difference, tokens
 from sparkprep.operators import categories, evaluate, numeric, profile, sampling, text, validate
 from sparkprep.operators import windows
-from sparkprep.plans.features import apply_features, feature_stages, feature_table
+from sparkprep.plans.features import apply_features, feature_table, fit_features
 from sparkprep.schema import COMPLAINTS
 from sparkprep.sources import landing, store
 from sparkprep.sources.tables import complaints, table
@@ -372,7 +372,7 @@ def _features(spark, sf_dir):
     needed = (KEY, *COMPLAINTS.required)
     df = settle(complaints(spark, sf_dir, *needed), "accepted")
     train, _ = sampling.split(df, KEY)
-    return feature_stages(COMPLAINTS).fit(train), df
+    return fit_features(train, COMPLAINTS), df
 
 
 def _entries(df: DataFrame, vector: str, *keep: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions import as_timestamp
 from sparkprep.operators import sampling, validate, windows
-from sparkprep.plans.features import apply_features, feature_stages
+from sparkprep.plans.features import apply_features, fit_features
 from sparkprep.schema import COMPLAINTS, SchemaSpec
 from sparkprep.sources import landing, store, watermark
 
@@ -107,7 +107,7 @@ def ingest(spark: SparkSession, config: RunConfig) -> Ingested:
 def validate_store(spark: SparkSession, config: RunConfig, ingested: Ingested) -> Validated:
     """Write sparse and unwanted columns apart and the others, with the key, as accepted."""
     spec = config.spec
-    df = store.read_table(spark, ingested.store).drop(store.MONTH)
+    df = store.read_table(spark, ingested.store, spec.stored).drop(store.MONTH)
     df = sampling.take(df, spec.key, config.row_cap)
     reasons = validate.columns_to_reject(df, spec.unwanted, config.missing_threshold)
     accepted = validate.accepted_columns(df, reasons, keep=[spec.key])
@@ -125,7 +125,7 @@ def transform(spark: SparkSession, config: RunConfig, validated: Validated) -> T
     if config.balanced:
         df = sampling.balance(df, spec.key, spec.target)
     train, test = sampling.split(df, spec.key, config.test_size)
-    model = feature_stages(spec, config.unseen).fit(train)
+    model = fit_features(train, spec, config.unseen)
     out = Transformed(config.output("train"), config.output("test"), config.output("model"))
     model.write().overwrite().save(out.model)
     store.write_once(apply_features(model, train, spec), out.train)

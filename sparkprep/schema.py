@@ -84,6 +84,17 @@ class SchemaSpec:
         )
         return T.StructType([T.StructField(c, T.StringType()) for c in names])
 
+    @property
+    def stored(self) -> T.StructType:
+        """Types of a record in the feature store: as landed, with the dates cast."""
+        dates = {self.date_start, self.date_end}
+        return T.StructType(
+            [
+                T.StructField(f.name, T.TimestampType() if f.name in dates else f.dataType)
+                for f in self.landing
+            ]
+        )
+
 
 COMPLAINTS = SchemaSpec(
     target="consumer_disputed",

@@ -5,22 +5,29 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkprep.functions import as_timestamp, column
+from sparkprep.workspace import settle
 
 MONTH = "received_month"
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet files whose columns may have grown over time, read with all of them."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet files whose columns may have grown over time, read with all of them.
+
+    Without a ``schema`` Spark has to open every file's footer to learn it.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
-        return read_table(spark, path)
+        return read_table(spark, path, schema)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
@@ -42,11 +49,14 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     return picked.select(*(column(c) for c in df.columns)).unionAll(df.where(column(key).isNull()))
 
 
-def unseen(df: DataFrame, stored: DataFrame | None, key: str) -> DataFrame:
-    """Rows whose key the store lacks. Of the stored table only the key column is read."""
-    if stored is None:
-        return df
-    return df.join(stored.select(column(key)), key, "left_anti")
+def unseen(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """Rows whose key the store lacks.
+
+    The stored keys are first cut down to those in ``df``. With a batch that is small enough to
+    broadcast, the store is read map-side, one column of it, and is never shuffled.
+    """
+    seen = stored.select(column(key)).join(df.select(column(key)), key, "left_semi")
+    return df.join(seen, key, "left_anti")
 
 
 def append_to_store(df: DataFrame, path: str, key: str, received: str) -> None:
@@ -56,7 +66,10 @@ def append_to_store(df: DataFrame, path: str, key: str, received: str) -> None:
     rebalance hint makes Spark split a month that is too large for one task and join small ones. A
     batch with no new record writes nothing.
     """
-    fresh = unseen(one_per_key(df, key), read_if_present(df.sparkSession, path), key)
+    fresh = one_per_key(df, key)
+    stored = read_if_present(df.sparkSession, path, T.StructType([df.schema[key]]))
+    if stored is not None:
+        fresh = unseen(settle(fresh, "batch"), stored, key)
     month = F.date_format(F.trunc(as_timestamp(received), "month"), "yyyy-MM")
     (
         fresh.withColumn(MONTH, month)

@@ -25,7 +25,7 @@ from sparkprep.operators.stages import (
     FrequencyImputer,
     FrequencyImputerModel,
 )
-from sparkprep.plans.features import apply_features, feature_stages, feature_table
+from sparkprep.plans.features import apply_features, feature_stages, feature_table, fit_features
 from sparkprep.plans.queries import QUERIES
 from sparkprep.sources.tables import complaints
 from sparkprep.workspace import settle
@@ -213,6 +213,25 @@ def test_feature_vectors_round_trip(spark, accepted, tmp_path):
     ).count() == 0
 
 
+def test_fewer_passes_give_the_same_model(spark, accepted):
+    train = accepted.where("complaint_id % 3 > 0")
+    array = vector_to_array("scaled_input_features")
+    ours, theirs = (
+        apply_features(m, accepted, COMPLAINTS, "complaint_id").select("complaint_id", array.alias("v"))
+        for m in (fit_features(train, COMPLAINTS), feature_stages(COMPLAINTS).fit(train))
+    )
+    both = ours.join(theirs.withColumnRenamed("v", "w"), "complaint_id")
+    gap = F.array_max(F.zip_with("v", "w", lambda a, b: F.abs(a - b)))
+    assert both.agg(F.max(gap)).first()[0] < 1e-9
+    assert both.count() == accepted.count()
+
+
+def test_fit_names_a_column_without_values(spark, accepted):
+    empty = accepted.withColumn("submitted_via", F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match="submitted_via"):
+        fit_features(empty, COMPLAINTS)
+
+
 def test_prediction_rows_need_no_label(spark, accepted):
     model = feature_stages(COMPLAINTS).fit(accepted)
     unlabelled = accepted.select("complaint_id", *COMPLAINTS.required_for_prediction)

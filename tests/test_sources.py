@@ -103,6 +103,16 @@ def test_store_is_pruned_by_month(spark, tmp_path):
     assert plan.count() == 1
 
 
+def test_store_is_not_shuffled_for_a_small_batch(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store.append_to_store(batch(spark, ("1", "a", "2023-05-01")), path, "complaint_id", "date_received")
+    small = settle(batch(spark, ("1", "b", "2023-05-01"), ("2", "c", "2023-05-01")), "batch")
+    fresh = store.unseen(small, store.read_table(spark, path), "complaint_id")
+    assert [r["complaint_id"] for r in fresh.collect()] == ["2"]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_schema_drift(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([("1",)], "id string").write.parquet(path)
@@ -111,7 +121,7 @@ def test_schema_drift(spark, tmp_path):
 
 
 def test_absent_table(spark, tmp_path):
-    assert store.read_if_present(spark, str(tmp_path / "none")) is None
+    assert store.read_if_present(spark, str(tmp_path / "none"), PAYLOAD) is None
 
 
 def test_sinks(spark, tmp_path):
