@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,6 +117,22 @@ def index_labels(counts: DataFrame, small: int = MAX_BROADCAST_ROWS) -> DataFram
     return known.withColumn("position", (F.row_number().over(window) - 1).cast("long"))
 
 
+def _size(table: DataFrame, *by: str) -> list[Row]:
+    """Rows, counted rows, and total and longest category bytes of a category table."""
+    length = F.octet_length("category")
+    zero = F.lit(0)
+    return (
+        table.groupBy(*by)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum("n"), zero).alias("total"),
+            F.coalesce(F.sum(length), zero).alias("bytes"),
+            F.coalesce(F.max(length), zero).alias("longest"),
+        )
+        .collect()
+    )
+
+
 def _tail_key(text: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), text), F.lit("?"))
 
@@ -128,13 +144,14 @@ def attach(
     values: dict[str, str],
     *,
     how: str = "left",
+    size: Row | None = None,
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Look ``df[key]`` up in ``table`` and add ``values`` (table column to new name).
 
     ``table`` is a settled table with distinct ``category`` values, NULL included, and the count
-    ``n`` of each. Its size is read first. A table within both bounds is broadcast. Of a larger one
+    ``n`` of each. Its size is read first, unless given. A table within both bounds is broadcast. Of a larger one
     only the hot categories are, those with more than ``1/max_hot`` of the counted rows, of which
     there are fewer than ``max_hot``; the other rows go through a shuffle join, where none of
     these keys is hot, while rows with a hot key are spread over all partitions by a salt.
@@ -146,12 +163,7 @@ def attach(
     if how == "inner":
         table = table.where(F.col("category").isNotNull())
     text = category_text(df, key)
-    size = table.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.octet_length("category")), F.lit(0)).alias("bytes"),
-        F.coalesce(F.max(F.octet_length("category")), F.lit(0)).alias("longest"),
-    ).first()
+    size = size or _size(table)[0]
     picked = table.select(
         F.col("category").alias("_category"),
         F.col("n").alias("_n"),
@@ -193,9 +205,15 @@ def attach(
     )
 
 
-def for_column(table: DataFrame, name: str) -> DataFrame:
-    """The part of a category table that belongs to one column."""
-    return table.where(F.col("column") == name).drop("column")
+def _attach_each(
+    df: DataFrame, tables: DataFrame, value: str, outputs: dict[str, str], **options
+) -> DataFrame:
+    """Look each column up in its own part of a table with a row per column and category."""
+    sizes = {row["column"]: row for row in _size(tables, "column")}
+    for name, out in outputs.items():
+        part = tables.where(F.col("column") == name).drop("column")
+        df = attach(df, name, part, {value: out}, size=sizes.get(name), **options)
+    return df
 
 
 def encode_frequency(
@@ -205,19 +223,16 @@ def encode_frequency(
 
     With ``left`` a category that was not fitted counts 0; ``inner`` drops such rows and NULLs.
     """
-    for name, out in outputs.items():
-        df = attach(df, name, for_column(counts, name), {"n": "_found"}, how=how, **bounds)
-        df = df.withColumn(out, F.coalesce("_found", F.lit(0).cast("long"))).drop("_found")
-    return df
+    found = _attach_each(df, counts, "n", outputs, how=how, **bounds)
+    zero = F.lit(0).cast("long")
+    return found.withColumns({out: F.coalesce(column(out), zero) for out in outputs.values()})
 
 
 def encode_index(
     df: DataFrame, labels: DataFrame, outputs: dict[str, str], **bounds
 ) -> DataFrame:
     """Add each category's index position; NULL where the category is NULL or was not fitted."""
-    for name, out in outputs.items():
-        df = attach(df, name, for_column(labels, name), {"position": out}, **bounds)
-    return df
+    return _attach_each(df, labels, "position", outputs, **bounds)
 
 
 def histogram(df: DataFrame, name: str) -> DataFrame:

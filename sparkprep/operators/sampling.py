@@ -63,22 +63,46 @@ def shuffled(df: DataFrame, key: str, salt: str = "") -> DataFrame:
     return df.orderBy(key_digest(key, salt), column(key))
 
 
-def _cut_digests(df: DataFrame, key: str, group: str | None, quota: int | None) -> DataFrame:
-    """``(category, n, cut)``: per group its row count and the last digest within the quota.
+def _digests(df: DataFrame, key: str, *labels: Column) -> DataFrame:
+    digests = df.select(*labels, key_digest(key).alias("digest"))
+    return digests.withColumn("bucket", digest_bucket(F.col("digest")))
 
-    A histogram over digest buckets finds the bucket in which each group's quota runs out; only
-    that bucket's digests are then ranked. With no ``quota`` it is the size of the smallest group.
-    ``cut`` is NULL for a group with nothing to keep.
+
+def take(df: DataFrame, key: str, n: int | None) -> DataFrame:
+    """The ``n`` rows with the lowest key digests, or all rows for ``None``.
+
+    A histogram over digest buckets finds the bucket in which ``n`` runs out, and sorting that one
+    bucket finds the digest. The limit so becomes a plain filter, instead of a sort whose last step
+    runs in one task.
     """
-    label = column(group).cast("string") if group else F.lit("")
-    digests = df.select(label.alias("category"), key_digest(key).alias("digest"))
-    digests = digests.withColumn("bucket", digest_bucket(F.col("digest")))
+    if n is None:
+        return df
+    digests = _digests(df, key)
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    last = (
+        digests.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+        .where(F.col("before") < n)
+        .orderBy(F.desc("bucket"))
+        .first()
+    )
+    if last is None:
+        return df.limit(0)
+    lowest = digests.where(F.col("bucket") == last["bucket"]).orderBy("digest")
+    cut = lowest.limit(n - last["before"]).agg(F.max("digest")).first()[0]
+    return df.where(key_digest(key) <= cut)
+
+
+def _class_cuts(df: DataFrame, key: str, label: str) -> DataFrame:
+    """``(category, n, cut)``: each class's size and the digest within which it has as many rows
+    as the smallest class. Found as in :func:`take`, for all the classes at once."""
+    digests = _digests(df, key, column(label).cast("string").alias("category"))
     sizes = settle(
         digests.groupBy("category", "bucket").agg(F.count(F.lit(1)).alias("size")), "digest-sizes"
     )
     totals = sizes.groupBy("category").agg(F.sum("size").alias("n"))
-    if quota is None:
-        quota = totals.agg(F.min("n")).first()[0] or 0
+    quota = totals.agg(F.min("n")).first()[0] or 0
     earlier = (
         Window.partitionBy("category").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -101,21 +125,7 @@ def _cut_digests(df: DataFrame, key: str, group: str | None, quota: int | None)
         .groupBy("category")
         .agg(F.max("digest").alias("cut"))
     )
-    return settle(cut_buckets.select("category", "n").join(at_cut, "category", "left"), "cuts")
-
-
-def take(df: DataFrame, key: str, n: int | None) -> DataFrame:
-    """The ``n`` rows with the lowest key digests, or all rows for ``None``.
-
-    The limit becomes one digest threshold and so a plain filter, instead of a sort whose last step
-    runs in one task.
-    """
-    if n is None:
-        return df
-    found = _cut_digests(df, key, None, n).first()
-    if found is None or found["cut"] is None:
-        return df.limit(0)
-    return df.where(key_digest(key) <= found["cut"])
+    return settle(cut_buckets.select("category", "n").join(at_cut, "category"), "class-cuts")
 
 
 def balance(df: DataFrame, key: str, label: str) -> DataFrame:
@@ -124,7 +134,7 @@ def balance(df: DataFrame, key: str, label: str) -> DataFrame:
     The sample is a filter too: each class has a threshold digest, and the rows at or below it stay.
     """
     known = df.where(column(label).isNotNull())
-    cuts = _cut_digests(known, key, label, None)
+    cuts = _class_cuts(known, key, label)
     marked = attach(known, label, cuts, {"cut": "_cut"})
     return marked.where(key_digest(key) <= F.col("_cut")).drop("_cut")
 
