@@ -397,6 +397,10 @@ ORACLE: dict[str, str] = {
         from entries join deviations using ("position") join complaints using (complaint_id)
         where deviation > 0"""
     ),
+    "run_feature_tables": on_complaints(
+        f"""select case when {IN_TRAIN} then 'train' else 'test' end side, consumer_disputed,
+        count(*) n from complaints group by 1, 2"""
+    ),
     "split_train_test": on_complaints(
         f"""select complaint_id, case when {IN_TRAIN} then 'train' else 'test' end side
         from complaints"""

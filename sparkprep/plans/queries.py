@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sparkprep.functions import as_timestamp, column, day_difference, tokens
 from sparkprep.operators import categories, evaluate, numeric, profile, sampling, text, validate
 from sparkprep.operators import windows
+from sparkprep.plans import training
 from sparkprep.plans.features import apply_features, feature_table, fit_features
 from sparkprep.schema import COMPLAINTS
 from sparkprep.sources import landing, store
@@ -394,6 +395,33 @@ def feature_vectors(spark, sf_dir):
     return _entries(vectors, COMPLAINTS.scaled, KEY, COMPLAINTS.target)
 
 
+@query
+def run_feature_tables(spark, sf_dir):
+    """A whole run, from landed JSON to the written feature tables, counted by side and label."""
+    root = new_path(spark, "run")
+    config = training.RunConfig(
+        root=root,
+        run_id="first",
+        landing=f"{root}/landing",
+        from_date=date(1900, 1, 1),
+        to_date=date(2100, 1, 1),
+        min_start=date(1900, 1, 1),
+        whole_files=False,
+    )
+    records = complaints(spark, sf_dir)
+    records.select(F.struct("*").alias(landing.ENVELOPE)).write.json(config.landing)
+    out = training.run(spark, config)
+    sides = [
+        spark.read.parquet(path).select(F.lit(side).alias("side"), COMPLAINTS.target)
+        for side, path in (("train", out.train), ("test", out.test))
+    ]
+    return (
+        sampling.union_by_name(sides)
+        .groupBy("side", COMPLAINTS.target)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 # --- splits, samples and unions --------------------------------------------------------------
 
 

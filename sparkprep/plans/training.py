@@ -8,8 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from sparkprep.functions import as_timestamp
 from sparkprep.operators import sampling, validate, windows
@@ -62,6 +61,7 @@ class Ingested:
 class Validated:
     accepted: str
     rejected: str
+    n_rows: int
 
 
 @dataclass(frozen=True)
@@ -69,6 +69,8 @@ class Transformed:
     train: str
     test: str
     model: str
+    n_train: int
+    n_test: int
 
 
 def ingest(spark: SparkSession, config: RunConfig) -> Ingested:
@@ -112,10 +114,9 @@ def validate_store(spark: SparkSession, config: RunConfig, ingested: Ingested) -
     reasons = validate.columns_to_reject(df, spec.unwanted, config.missing_threshold)
     accepted = validate.accepted_columns(df, reasons, keep=[spec.key])
     validate.require_columns(accepted, spec.required)
-    out = Validated(config.output("accepted"), config.output("rejected"))
-    store.append_rejects(validate.rejected_columns(df, reasons, spec.key), out.rejected)
-    store.write_once(accepted, out.accepted)
-    return out
+    rejected_path, accepted_path = config.output("rejected"), config.output("accepted")
+    store.append_rejects(validate.rejected_columns(df, reasons, spec.key), rejected_path)
+    return Validated(accepted_path, rejected_path, store.write_once(accepted, accepted_path))
 
 
 def transform(spark: SparkSession, config: RunConfig, validated: Validated) -> Transformed:
@@ -126,21 +127,14 @@ def transform(spark: SparkSession, config: RunConfig, validated: Validated) -> T
         df = sampling.balance(df, spec.key, spec.target)
     train, test = sampling.split(df, spec.key, config.test_size)
     model = fit_features(train, spec, config.unseen)
-    out = Transformed(config.output("train"), config.output("test"), config.output("model"))
-    model.write().overwrite().save(out.model)
-    store.write_once(apply_features(model, train, spec), out.train)
-    store.write_once(apply_features(model, test, spec), out.test)
-    return out
+    paths = [config.output(name) for name in ("train", "test", "model")]
+    model.write().overwrite().save(paths[2])
+    sizes = [
+        store.write_once(apply_features(model, side, spec), path)
+        for side, path in zip((train, test), paths)
+    ]
+    return Transformed(*paths, *sizes)
 
 
 def run(spark: SparkSession, config: RunConfig) -> Transformed:
     return transform(spark, config, validate_store(spark, config, ingest(spark, config)))
-
-
-def row_counts(spark: SparkSession, *paths: str) -> DataFrame:
-    """``(path, n_rows)`` of written tables; parquet answers from its footers."""
-    parts = [
-        spark.read.parquet(p).agg(F.lit(p).alias("path"), F.count(F.lit(1)).alias("n_rows"))
-        for p in paths
-    ]
-    return sampling.union_by_name(parts)

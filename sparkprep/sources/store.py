@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,12 +80,16 @@ def append_to_store(df: DataFrame, path: str, key: str, received: str) -> None:
     )
 
 
-def write_once(df: DataFrame, path: str) -> str:
-    """Write to a path that must not exist yet."""
-    df.write.mode("errorifexists").parquet(path)
-    return path
+def write_once(df: DataFrame, path: str) -> int:
+    """Write to a path that must not exist yet, and return the number of rows written.
+
+    The rows are counted as they are written, without a job of their own.
+    """
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("n_rows"))
+    counted.write.mode("errorifexists").parquet(path)
+    return written.get["n_rows"]
 
 
-def append_rejects(df: DataFrame, path: str) -> str:
+def append_rejects(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
-    return path

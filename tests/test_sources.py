@@ -126,7 +126,8 @@ def test_absent_table(spark, tmp_path):
 
 def test_sinks(spark, tmp_path):
     df = spark.range(3)
-    once = store.write_once(df, str(tmp_path / "once"))
+    once = str(tmp_path / "once")
+    assert store.write_once(df, once) == 3
     with pytest.raises(AnalysisException):
         store.write_once(df, once)
     for _ in range(2):
