@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions import column
@@ -36,7 +36,8 @@ def scores_by_label(matrix: DataFrame, beta: float = 1.0) -> DataFrame:
         .groupBy("class")
         .agg(*(F.sum(c).alias(c) for c in ("actual", "predicted", "tp")))
     )
-    total = matrix.agg(F.sum("n")).scalar()
+    # Over all the classes: one row each.
+    total = F.sum("actual").over(Window.partitionBy())
     rated = counts.select(
         "class",
         "actual",

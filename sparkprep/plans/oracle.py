@@ -232,9 +232,11 @@ def features(body: str) -> str:
             union all select complaint_id, train, {offsets[3]}, im_diff from filled where im_diff <> 0
             union all select complaint_id, train, {offsets[3]} + 1 + bucket, tf * idf
             from tfs join idfs using (bucket) where tf * idf <> 0)""",
-        """deviations as (select "position",
-            sqrt(greatest(0, (sum(value * value) - sum(value) * sum(value) / n) / (n - 1))) deviation
-            from entries, (select count(*) n from filled where train) where train group by "position", n)""",
+        "trained as (select count(*) n from filled where train)",
+        """moments as (select "position", sum(value) s, sum(value * value) ss,
+            (select n from trained) n from entries where train group by "position")""",
+        """deviations as (select "position", sqrt(greatest(0, (ss - s * s / n) / (n - 1))) deviation
+            from moments)""",
     )
 
 

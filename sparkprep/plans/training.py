@@ -15,6 +15,7 @@ from sparkprep.operators import sampling, validate, windows
 from sparkprep.plans.features import apply_features, fit_features
 from sparkprep.schema import COMPLAINTS, SchemaSpec
 from sparkprep.sources import landing, store, watermark
+from sparkprep.workspace import settle
 
 # Fixed value: nothing received before this day is loaded by default.
 MIN_START = date(2023, 5, 1)
@@ -93,7 +94,10 @@ def ingest(spark: SparkSession, config: RunConfig) -> Ingested:
     )
     if first >= last:
         return done
-    landed = landing.read_landing(spark, config.landing, spec.landing, config.whole_files)
+    # Parsed once and written: the three tables below read columns of it, not the JSON again.
+    landed = settle(
+        landing.read_landing(spark, config.landing, spec.landing, config.whole_files), "landed"
+    )
     payloads = landing.unwrap(landed)
     records = landing.typed(payloads, spec)
     store.append_to_store(

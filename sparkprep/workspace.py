@@ -28,8 +28,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _session_folder(spark: SparkSession) -> str:
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/sparkprep-{application}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/sparkprep/{name}-{uuid.uuid4().hex}"
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -37,3 +42,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_settled(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. DataFrames that still read them will fail."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

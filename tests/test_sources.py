@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
-from sparkprep import COMPLAINTS, get_spark
+from sparkprep import COMPLAINTS, get_spark, workspace
 from sparkprep.session import s3a_options
 from sparkprep.sources import landing, store, watermark
 from sparkprep.streaming import load_new_files, stream_landing, stream_to_store
@@ -200,3 +200,11 @@ def test_shared_folder_is_the_session_s(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert new_path(spark, "x").startswith(folder)
     assert settle(spark.range(5), "x").count() == 5
+
+
+def test_discarding_removes_only_own_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_folder", lambda _: str(tmp_path))
+    (tmp_path / "other").mkdir()
+    assert settle(spark.range(5), "x").count() == 5
+    workspace.discard_settled(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]
