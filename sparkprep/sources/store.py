@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkprep.functions import as_timestamp, column
-from sparkprep.workspace import settle
+from sparkprep.workspace import exists, settle
 
 MONTH = "received_month"
 
@@ -24,12 +23,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return read_table(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return read_table(spark, path, schema) if exists(spark, path) else None
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:

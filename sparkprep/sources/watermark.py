@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkprep.workspace import exists
+
 SCHEMA = "from_date date, to_date date, data_file_path string"
 
 
 def watermarks(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], SCHEMA)
+    return spark.read.schema(SCHEMA).parquet(path)
 
 
 def latest(spark: SparkSession, path: str) -> date | None:

@@ -44,8 +44,19 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """A path and the file system it is on."""
+    context = spark.sparkContext
+    located = context._jvm.org.apache.hadoop.fs.Path(path)
+    return located, located.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    located, files = _hadoop(spark, path)
+    return files.exists(located)
+
+
 def discard_settled(spark: SparkSession) -> None:
     """Delete this application's intermediate tables. DataFrames that still read them will fail."""
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    located, files = _hadoop(spark, _session_folder(spark))
+    files.delete(located, True)

@@ -25,6 +25,13 @@ def duck():
     connection.close()
 
 
+def check_plan(df):
+    """No cross or nested-loop join, and no Python in the rows' way."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert operator not in text
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
@@ -32,6 +39,7 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows(spark, duck, name):
     found = QUERIES[name](spark, SF_DIR)
+    check_plan(found)
     names = sorted(found.columns)
     rows = Counter(tuple(r) for r in found.select(*names).collect())
     cursor = duck.execute(ORACLE[name])
@@ -45,7 +53,9 @@ def test_same_rows(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_gives_rows(spark, name):
-    assert QUERIES[name](spark, SF_DIR).count() > 0
+    found = QUERIES[name](spark, SF_DIR)
+    check_plan(found)
+    assert found.count() > 0
 
 
 def test_entry(spark):
