@@ -17,7 +17,7 @@ from sparkprep.plans import training
 from sparkprep.plans.features import apply_features, feature_table, fit_features
 from sparkprep.schema import COMPLAINTS
 from sparkprep.sources import landing, store
-from sparkprep.sources.tables import complaints, table
+from sparkprep.sources.tables import complaints, documents, table
 from sparkprep.streaming import load_new_files, stream_landing, stream_to_store
 from sparkprep.workspace import new_path, settle
 
@@ -330,9 +330,8 @@ def feat_one_hot(spark, sf_dir):
 
 @query
 def feat_tokens(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
     words = tokens(F.col("text"))
-    return documents.select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         F.size(words).cast("long").alias("n_tokens"),
         F.size(F.filter(words, lambda w: w != "")).cast("long").alias("n_words"),
@@ -341,25 +340,25 @@ def feat_tokens(spark, sf_dir):
 
 @query
 def feat_term_freq(spark, sf_dir):
-    return text.term_frequencies(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return text.term_frequencies(documents(spark, sf_dir), "doc_id", "text")
 
 
 @query
 def feat_tfidf_terms(spark, sf_dir):
-    found = text.tfidf_terms(table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = text.tfidf_terms(documents(spark, sf_dir), "doc_id", "text")
     return found.select("doc_id", "term", *rounded("tfidf"))
 
 
 @query
 def feat_hashing_tf(spark, sf_dir):
-    return text.hashed_frequencies(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return text.hashed_frequencies(documents(spark, sf_dir), "doc_id", "text")
 
 
 @query
 def feat_tfidf_hashed(spark, sf_dir):
     """Hashed TF-IDF vectors in long form."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", tokens(F.col("text")).alias("words"))
-    hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=40).transform(documents)
+    words = documents(spark, sf_dir).select("doc_id", tokens(F.col("text")).alias("words"))
+    hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=40).transform(words)
     weighted = IDF(inputCol="tf", outputCol="tfidf").fit(hashed).transform(hashed)
     return (
         weighted.select("doc_id", F.posexplode(vector_to_array("tfidf")).alias("bucket", "tfidf"))

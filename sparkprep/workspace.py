@@ -56,6 +56,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(located)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    located, files = _hadoop(spark, path)
+    return files.getContentSummary(located).getLength()
+
+
 def discard_settled(spark: SparkSession) -> None:
     """Delete this application's intermediate tables. DataFrames that still read them will fail."""
     located, files = _hadoop(spark, _session_folder(spark))

@@ -2,6 +2,7 @@
 
 from sparkprep import COMPLAINTS
 from sparkprep.operators import categories, profile
+from sparkprep.sources import tables
 from sparkprep.sources.tables import complaints, table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -39,3 +40,9 @@ def test_unneeded_tables_are_not_read(spark):
 def test_null_filter_reaches_the_scan(spark):
     df = table(spark, SF_DIR, "orders").where("o_orderpriority is null").select("o_orderkey")
     assert "IsNull(o_orderpriority)" in plan(df)
+
+
+def test_only_small_files_are_spread(spark, monkeypatch):
+    assert "Exchange" in plan(tables.documents(spark, SF_DIR))
+    monkeypatch.setattr(tables, "SMALL_BYTES_PER_CORE", 0)
+    assert "Exchange" not in plan(tables.documents(spark, SF_DIR))
