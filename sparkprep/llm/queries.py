@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from sparkprep.llm.bpe import op10_bpe
 from sparkprep.llm.chat import op4_chat_formatting
 from sparkprep.llm.common import Query
+from sparkprep.llm.decontaminate import op5_decontamination
 from sparkprep.llm.sharding import op1_sharding
 
 _OPERATORS: tuple[Query, ...] = (
     op1_sharding,
     op4_chat_formatting,
+    op5_decontamination,
+    op10_bpe,
 )
 
 
