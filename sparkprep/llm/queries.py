@@ -7,12 +7,14 @@ from sparkprep.llm.chat import op4_chat_formatting
 from sparkprep.llm.common import Query
 from sparkprep.llm.decontaminate import op5_decontamination
 from sparkprep.llm.quality import op9_quality_rules
+from sparkprep.llm.secret_scan import op8_secret_scans
 from sparkprep.llm.sharding import op1_sharding
 
 _OPERATORS: tuple[Query, ...] = (
     op1_sharding,
     op4_chat_formatting,
     op5_decontamination,
+    op8_secret_scans,
     op9_quality_rules,
     op10_bpe,
 )
