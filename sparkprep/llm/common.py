@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.sources.tables import table
@@ -13,7 +13,10 @@ from sparkprep.sources.tables import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOT_ROWS = 20_000
-"""Rows of one key that a join leaves together; a key with more is split into lanes."""
+"""Rows of one key that a join leaves together in any case."""
+
+MOST_HOT = 10_000
+"""No more keys than this are ever broadcast as hot ones."""
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -47,24 +50,19 @@ def pieces(
                 start = row
 
 
-def lanes(rows: Column, hot_rows: int = HOT_ROWS) -> Column:
-    """Into how many lanes the rows of a key are split, given how many there are."""
-    return F.greatest(F.lit(1), F.ceil(rows / F.lit(hot_rows))).cast("int")
-
-
-def lane_join(
-    many: DataFrame, one: DataFrame, keys: list[str], rows: str, spread: Column,
-    hot_rows: int = HOT_ROWS,
+def hot_join(
+    many: DataFrame, one: DataFrame, keys: list[str], rows: str, how: str = "inner"
 ) -> DataFrame:
     """Join ``many`` to ``one``, which has one row for each key, without a hot task.
 
-    Both sides carry ``rows``, how many rows of ``many`` the key has. A key with more than
-    ``hot_rows`` is split into lanes: a row of ``many`` goes to the lane that ``spread`` (an integer
-    or hash that differs between the key's rows) names, and the one row of the key is repeated for
-    each lane. Other keys have a single lane, so nothing is repeated for them.
+    ``rows`` is a column of ``one``: how many rows of ``many`` the key has, nearly. Keys with at least
+    ``HOT_ROWS`` rows and a ``1 / MOST_HOT`` share of all rows are hot. There are at most ``MOST_HOT``
+    of them, whatever the input, so they are broadcast; only other rows are shuffled. ``many`` is read
+    twice, so it should be a table.
     """
-    n = lanes(F.col(rows), hot_rows)
-    left = many.withColumn("_lane", F.when(n > 1, F.pmod(spread, n)).otherwise(0).cast("int"))
-    copies = F.explode(F.sequence(F.lit(0), n - 1))
-    right = one.withColumn("_lane", copies).drop(rows)
-    return left.join(right, [*keys, "_lane"]).drop("_lane")
+    total = one.agg(F.sum(rows)).first()[0] or 0
+    limit = max(HOT_ROWS, total // MOST_HOT)
+    hot = F.broadcast(one.where(F.col(rows) >= limit))
+    rest = many.join(hot.select(*keys), keys, "left_anti")
+    cold = rest.join(one.where(F.col(rows) < limit), keys, how)
+    return many.join(hot, keys).unionByName(cold).drop(rows)

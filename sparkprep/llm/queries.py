@@ -6,6 +6,7 @@ from sparkprep.llm.bpe import op10_bpe
 from sparkprep.llm.chat import op4_chat_formatting
 from sparkprep.llm.common import Query
 from sparkprep.llm.decontaminate import op5_decontamination
+from sparkprep.llm.line_templates import op7_line_dedup
 from sparkprep.llm.quality import op9_quality_rules
 from sparkprep.llm.secret_scan import op8_secret_scans
 from sparkprep.llm.sharding import op1_sharding
@@ -14,6 +15,7 @@ _OPERATORS: tuple[Query, ...] = (
     op1_sharding,
     op4_chat_formatting,
     op5_decontamination,
+    op7_line_dedup,
     op8_secret_scans,
     op9_quality_rules,
     op10_bpe,
