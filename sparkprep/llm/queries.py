@@ -10,9 +10,11 @@ from sparkprep.llm.line_templates import op7_line_dedup
 from sparkprep.llm.quality import op9_quality_rules
 from sparkprep.llm.secret_scan import op8_secret_scans
 from sparkprep.llm.sharding import op1_sharding
+from sparkprep.llm.shingle_join import op2_ngram_jaccard_join
 
 _OPERATORS: tuple[Query, ...] = (
     op1_sharding,
+    op2_ngram_jaccard_join,
     op4_chat_formatting,
     op5_decontamination,
     op7_line_dedup,
