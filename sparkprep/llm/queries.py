@@ -11,12 +11,14 @@ from sparkprep.llm.quality import op9_quality_rules
 from sparkprep.llm.secret_scan import op8_secret_scans
 from sparkprep.llm.sharding import op1_sharding
 from sparkprep.llm.shingle_join import op2_ngram_jaccard_join
+from sparkprep.llm.suffix_dedup import op6_suffix_array_dedup
 
 _OPERATORS: tuple[Query, ...] = (
     op1_sharding,
     op2_ngram_jaccard_join,
     op4_chat_formatting,
     op5_decontamination,
+    op6_suffix_array_dedup,
     op7_line_dedup,
     op8_secret_scans,
     op9_quality_rules,
