@@ -7,6 +7,7 @@ from sparkprep.llm.chat import op4_chat_formatting
 from sparkprep.llm.common import Query
 from sparkprep.llm.decontaminate import op5_decontamination
 from sparkprep.llm.line_templates import op7_line_dedup
+from sparkprep.llm.passages import op3_substring_dedup
 from sparkprep.llm.quality import op9_quality_rules
 from sparkprep.llm.secret_scan import op8_secret_scans
 from sparkprep.llm.sharding import op1_sharding
@@ -16,6 +17,7 @@ from sparkprep.llm.suffix_dedup import op6_suffix_array_dedup
 _OPERATORS: tuple[Query, ...] = (
     op1_sharding,
     op2_ngram_jaccard_join,
+    op3_substring_dedup,
     op4_chat_formatting,
     op5_decontamination,
     op6_suffix_array_dedup,
