@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +27,29 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return table(spark, sf_dir, name)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, so that tasks find its functions wherever they run.
+
+    Spark's file server hands out the archive; no executor needs to see the driver's folder.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    folder = tempfile.mkdtemp(prefix="sparkprep-code-")
+    path = Path(folder) / f"{package.name}.zip"
+    path.write_bytes(content.getvalue())
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(application)
+
+
 def dropping(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns that an operator is about to add, whatever their case."""
     taken = {n.lower() for n in names}

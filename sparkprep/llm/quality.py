@@ -41,50 +41,44 @@ ADDED = (
 
 def _chars(pattern: str, text: str = "_text") -> Column:
     """Characters of a class."""
-    outside = "[^" + pattern[1:]
+    outside = "[^" + pattern[1:] + "+"
     return F.length(F.regexp_replace(F.col(text), outside, ""))
 
 
-def _with_words(docs: DataFrame, text: str) -> DataFrame:
-    """The text, its words, and its words lower-cased without punctuation around them."""
-    held = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    # split leaves an empty string before leading and after trailing space
-    split = F.filter(F.split("_text", SPACES), lambda w: w != "")
-    return held.withColumn("_words", split)
-
-
 def _windows(words: str = "_words") -> Column:
-    """Hashes of the 3-word windows with their places, sorted, so that equal ones are neighbours."""
+    """Hashes of the 3-word windows, by place."""
     w = F.col(words)
     n = F.size(w)
-    window = lambda k: F.struct(
-        F.xxhash64(F.get(w, k), F.get(w, k + 1), F.get(w, k + 2)).alias("h"), k.alias("k")
-    )
-    return F.sort_array(F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), window)))
+    hashed = lambda k: F.xxhash64(F.get(w, k), F.get(w, k + 1), F.get(w, k + 2))
+    none = F.array().cast("array<bigint>")
+    return F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), hashed)).otherwise(none)
 
 
-def describe(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the base counts and the two histograms (``_classes``, ``_common``)."""
-    held = _with_words(dropping(docs, *ADDED), text)
-    lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(WORD))
-    lowered = F.transform(
-        F.filter("_words", lambda w: F.length(w) <= 12),
-        lambda w: F.regexp_replace(F.lower(w), "^[.,;:!?]+|[.,;:!?]+$", ""),
-    )
+def _repeated_places() -> Column:
+    """Places of windows that occur twice or more: equal hashes are neighbours once sorted."""
+    numbered = F.transform("_windows", lambda h, k: F.struct(h.alias("h"), k.alias("k")))
+    return F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.sort_array(numbered))
+
+
+def describe(docs: DataFrame, text: str = "text", carry_text: bool = True) -> DataFrame:
+    """``docs`` with the base counts, character classes and occurrences of listed words."""
+    kept = [c for c in docs.columns if c.lower() not in ADDED and (carry_text or c != text)]
+    held = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    # a split leaves an empty string before leading and after trailing space
+    held = held.withColumn("_words", F.array_remove(F.split("_text", SPACES), ""))
     listed = sorted({w for words in COMMON_WORDS.values() for w in words})
+    bare = F.split(F.lower("_text"), r"[\x20\x09-\x0D.,;:!?]+")
     held = (
-        held.withColumn("_lines", lines)
+        held.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: x.rlike(WORD)))
+        .withColumn("_hits", F.filter(bare, lambda w: w.isin(listed)))
         .withColumn("_windows", _windows())
-        .withColumn("_hits", F.filter(lowered, lambda w: w.isin(listed)))
+        .withColumn("_sorted", _repeated_places())
     )
-    windows = F.col("_windows")
-    same = lambda a, b: F.coalesce(F.get(windows, a)["h"] == F.get(windows, b)["h"], F.lit(False))
-    places = F.filter(windows, lambda x, k: same(k, k - 1) | same(k, k + 1))
+    ordered = F.col("_sorted")
+    same = lambda a, b: F.coalesce(F.get(ordered, a)["h"] == F.get(ordered, b)["h"], F.lit(False))
+    places = F.filter(ordered, lambda x, k: same(k, k - 1) | same(k, k + 1))
     places = F.sort_array(F.transform(places, lambda x: x["k"]))
-    distinct = F.size(F.array_distinct(F.transform(windows, lambda x: x["h"])))
-    held = held.withColumn(
-        "_places", F.when(distinct < F.size(windows), places).otherwise(F.array().cast("array<int>"))
-    )
+    held = held.withColumn("_places", F.coalesce(places, F.array().cast("array<int>")))
     # each repeated window adds the words up to the next one, three at most
     repeated = F.aggregate(
         F.zip_with(
@@ -98,11 +92,12 @@ def describe(docs: DataFrame, text: str = "text") -> DataFrame:
     total = F.length("_text")
     classes = [_chars(p).cast("double") for p in CHARACTER_CLASSES.values()]
     held = held.withColumn("_known", F.array(*classes))
+    space = list(CHARACTER_CLASSES).index("space")
     known = F.aggregate("_known", F.lit(0.0), lambda s, x: s + x)
     return held.select(
-        *(F.col(f"`{c}`") for c in docs.columns if c.lower() not in ADDED),
+        *(F.col(f"`{c}`") for c in kept),
         F.size("_words").cast("long").alias("n_words"),
-        F.coalesce(F.length(F.array_join("_words", "")), F.lit(0)).cast("long").alias("word_chars"),
+        (total - F.get("_known", F.lit(space))).cast("long").alias("word_chars"),
         _chars("[#*$%&|<>]").cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated.cast("long").alias("n_repeat_words"),
@@ -168,6 +163,7 @@ def judge(
     least_words: int = 80,
     most_word_distance: float = 0.15,
     word_noise: float = 1.5,
+    carry_text: bool = True,
 ) -> DataFrame:
     """``docs`` with the base counts, the two distances and ``kept``.
 
@@ -178,7 +174,7 @@ def judge(
     square root of the number of words. A language
     without a list, or a NULL one, is never judged by distance. NULL and empty texts have no words.
     """
-    described = with_common(describe(docs, text), language)
+    described = with_common(describe(docs, text, carry_text), language)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     described = settle(described.withColumn("base_failed", failed), "quality-counts")
     fitted = F.broadcast(references(described, language))  # four rows at most
@@ -199,5 +195,5 @@ def judge(
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, distances from the language's histograms and the verdict on each document."""
     docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long"), "text", "lang")
-    judged = judge(docs)
+    judged = judge(docs, carry_text=False)
     return judged.select("doc_id", *ADDED)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from corpus_pipeline import run as pipeline
 from sparkprep.llm.bpe import op10_bpe
 from sparkprep.llm.chat import op4_chat_formatting
-from sparkprep.llm.common import Query
+from sparkprep.llm.common import Query, ship
 from sparkprep.llm.decontaminate import op5_decontamination
 from sparkprep.llm.line_templates import op7_line_dedup
 from sparkprep.llm.passages import op3_substring_dedup
@@ -31,11 +32,13 @@ _OPERATORS: tuple[Query, ...] = (
 def _in_utc(query: Query) -> Query:
     def run(spark, sf_dir):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship(spark)
         return query(spark, sf_dir)
 
     return run
 
 
 QUERIES: dict[str, Query] = {q.__name__: _in_utc(q) for q in _OPERATORS}
+QUERIES["pipeline"] = _in_utc(pipeline)
 
 ORACLE: dict[str, str] = {}

@@ -238,7 +238,8 @@ def similar_groups(
     chunk_bytes: int = 4 << 20,
     overlap_fragments: int = 8,
 ) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``.
+    """One row for each row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``; and
+    ``text_hash``, and ``stays``, true for the first row of each component (by id, then text hash).
 
     Sets link when their Jaccard similarity is ``percent`` or more; ``component_id`` is the smallest
     ``doc_id`` that links lead to. Texts without words, NULL ones included, are linked with nothing
@@ -251,7 +252,7 @@ def similar_groups(
     classes = table.where("n > 0").groupBy("node", "n").agg(
         F.count("*").alias("rows"),
         F.min("doc_id").alias("least"),
-        F.min(F.struct("doc_id", "text_hash")).alias("at"),
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("at"),
     )
     classes = settle(classes, "shingle-classes")
     sizes = classes.agg(F.sum("n"), F.count("*")).first()
@@ -340,20 +341,25 @@ def similar_groups(
     roots = settle(components(all_links), "shingle-roots")
 
     named = settle(
-        classes.select("node", "rows", "least").join(roots, "node", "left").withColumn(
+        classes.select("node", "rows", "least", "at").join(roots, "node", "left").withColumn(
             "root", F.coalesce("root", "node")
         ),
         "shingle-named",
     )
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    least = named.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.min("at").alias("first"), F.count("*").alias("n")
+    )
     named = hot_join(named, settle(least, "shingle-least"), ["root"], "n")
-    named = settle(named.select("node", "rows", "component_id"), "shingle-components")
+    named = settle(named.select("node", "rows", "component_id", "first"), "shingle-components")
     linked = hot_join(table.where("n > 0"), named, ["node"], "rows")
-    empty = table.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    linked = linked.withColumn("stays", stays)
+    empty = table.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("stays", F.lit(True))
+    columns = ("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "text_hash", "stays")
     return linked.select(*columns).unionByName(empty.select(*columns))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of 5-word shingles and its component of links."""
-    return similar_groups(documents(spark, sf_dir).select("doc_id", "text"))
+    found = similar_groups(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
