@@ -8,9 +8,9 @@ base patterns found are random, words of letters only are ordinary.
 
 from __future__ import annotations
 
-import math
 import string
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +32,10 @@ KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
 CANDIDATE = "[A-Za-z0-9+/_=-]{16,}"
-ORDINARY = "[A-Za-z]{6,}"
+ORDINARY = "(?<![A-Za-z0-9+/_=-])[A-Za-z]{6,}(?![A-Za-z0-9+/_=-])"
+
+BACK_OFF = 5.0
+"""So many counts the single characters weigh beside the pairs."""
 
 ADDED = ("found",)
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -117,23 +120,24 @@ def _pairs(value: Column) -> Column:
 def fit_ratios(random: DataFrame, ordinary: DataFrame) -> list[float]:
     """Log-likelihood ratios of all character pairs, from samples in a column ``value``.
 
-    Each model is a table of pair counts with one added to each, so no pair is impossible and a model
-    without a sample is uniform. What comes to the driver is one number for each pair of the alphabet.
+    Each model is a table of pair counts. A pair seen rarely leans on how frequent its second character
+    is, with one added to each, so no pair is impossible and a model without a sample is uniform. What
+    comes to the driver is one number for each pair of the alphabet.
     """
     size = len(ALPHABET)
     both = random.select(F.lit(1).alias("label"), "value").unionByName(
         ordinary.select(F.lit(0).alias("label"), "value")
     )
     pairs = both.select("label", F.explode(_pairs(F.col("value"))).alias("pair"))
-    counts = {(r["label"], r["pair"]): r["count"] for r in pairs.groupBy("label", "pair").count().collect()}
-
-    def log_share(label: int, a: int, b: int) -> float:
-        row = sum(counts.get((label, a * size + x + 1), 0) for x in range(size))
-        return math.log((counts.get((label, a * size + b + 1), 0) + 1) / (row + size))
-
-    return [
-        log_share(1, a, b) - log_share(0, a, b) for a in range(size) for b in range(size)
-    ]
+    counted = pairs.groupBy("label", "pair").count().collect()
+    counts = np.zeros((2, size * size))
+    for r in counted:
+        counts[r["label"], r["pair"] - 1] = r["count"]
+    counts = counts.reshape(2, size, size)
+    after = counts.sum(axis=1, keepdims=True) + 1
+    single = after / after.sum(axis=2, keepdims=True)
+    shares = (counts + BACK_OFF * single) / (counts.sum(axis=2, keepdims=True) + BACK_OFF)
+    return np.log(shares[1] / shares[0]).ravel().tolist()
 
 
 def scan_secrets(

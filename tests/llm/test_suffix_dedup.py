@@ -1,0 +1,91 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sparkprep.llm.hashing import PrefixHashes
+from sparkprep.llm.suffix_dedup import (
+    common_extension, remove_repeats, repeated_places, suffix_order, window_minima,
+)
+from cases import ODD
+
+
+def brute(texts, length):
+    """What each text keeps, and how many runs are removed, by counting all strings."""
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = np.zeros(len(d), bool)
+        for p in range(len(d) - length + 1):
+            if seen[d[p : p + length]] > 1:
+                gone[p : p + length] = True
+        runs = int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum()) if len(d) else 0
+        out.append((len(d), int(gone.sum()), runs, bytes(np.frombuffer(d, np.uint8)[~gone])))
+    return out
+
+
+def check(df, rows, length, **options):
+    found = remove_repeats(df, length=length, **options).collect()
+    expected = Counter((i, *e) for (i, _), e in zip(rows, brute([t for _, t in rows], length)))
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == expected
+
+
+def overlapping(seed):
+    """Texts that share passages with each other and with themselves, some of them altered."""
+    rng = random.Random(seed)
+    make = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    passages = [make(rng.randint(10, 120)) for _ in range(8)]
+    rows = []
+    for i in range(40):
+        parts = []
+        for _ in range(rng.randint(0, 5)):
+            p = rng.choice(passages)
+            a, b = sorted((rng.randrange(len(p)), rng.randrange(len(p) + 1)))
+            parts += [make(rng.randint(0, 30)), rng.choice([p, p[a:b], p[:a] + "X" + p[a:]])]
+        rows.append((i, "".join(parts)))
+    return rows + [(50, "a" * 300), (51, "ab" * 100), (52, rows[0][1]), (53, rows[0][1])]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("hot", [2, 20_000])
+def test_same_as_counting_strings(table, seed, hot):
+    rows = overlapping(seed)
+    options = {"hot_contexts": hot, "chunk_bytes": 500, "fragment_bytes": 3000}
+    check(table(rows).repartition(3), rows, 20, **options)
+
+
+def test_odd_rows(table):
+    rows = [*ODD, (7, "x" * 19), (8, "y" * 20), (9, "y" * 20)]
+    check(table(rows, extra=True), rows, 20)
+    assert remove_repeats(table([]), length=20).count() == 0
+
+
+def test_suffix_order_and_extensions():
+    rng = np.random.default_rng(1)
+    data = np.concatenate([rng.integers(97, 99, 400), np.zeros(50)]).astype(np.uint8)
+    hashes = PrefixHashes(data)
+    start, group = np.arange(400), rng.integers(0, 5, 400)
+    order = suffix_order(data, hashes, group, start, 50)
+    key = lambda k: (group[k], data[start[k] : start[k] + 50].tobytes(), k)
+    assert order.tolist() == sorted(range(400), key=key)
+    a, b = rng.integers(0, 400, 300), rng.integers(0, 400, 300)
+    for x, y, n in zip(a, b, common_extension(hashes, a, b, 50)):
+        same = data[x : x + 50] == data[y : y + 50]
+        assert n == (50 if same.all() else int(np.argmin(same)))
+
+
+def test_collisions_do_not_pass(monkeypatch):
+    """With a hash that is always the same, bytes still decide."""
+    monkeypatch.setattr(PrefixHashes, "of", lambda self, start, end: np.zeros(len(np.atleast_1d(end)), np.uint64))
+    contexts = [b"abcdefgh", b"abcdefgh", b"hgfedcba"]
+    owner, inside = repeated_places(contexts, np.zeros(3, np.int64), np.zeros(3, np.int64), 8)
+    assert set(owner.tolist()) <= {0, 1}
+
+
+def test_window_minima():
+    values = np.random.default_rng(2).integers(0, 1000, 57).astype(np.uint64)
+    for width in (1, 2, 7, 57):
+        expected = [values[k : k + width].min() for k in range(57 - width + 1)]
+        assert window_minima(values, width).tolist() == expected
