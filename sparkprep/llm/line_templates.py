@@ -12,7 +12,7 @@ lines that do not recur. Documents with equal texts count once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.llm.common import documents, dropping, hot_join
@@ -22,19 +22,23 @@ ADDED = ("n_lines", "dropped", "kept_text")
 WILDCARD = "<*>"
 
 
+def _masked(line: Column) -> Column:
+    """The line without space around it, tokens with a digit as wildcards."""
+    hidden = F.regexp_replace(line, "(?<![^ ])[^ 0-9]*[0-9][^ ]*", WILDCARD)
+    return F.trim(F.when(line.rlike("[0-9]"), hidden).otherwise(line))
+
+
 def _lines(docs: DataFrame, text: str, depth: int) -> DataFrame:
     """Lines with their place, their leaf and a hash of the line with wildcards."""
-    lines = docs.select(
-        F.col("_doc"),
-        F.xxhash64(F.col(text)).alias("_text"),
-        F.posexplode(F.split(F.col(text), "\n")).alias("place", "line"),
+    split = docs.select(
+        "_doc", F.xxhash64(F.col(text)).alias("_text"), F.split(F.col(text), "\n").alias("_lines")
     )
-    masked = F.trim(F.regexp_replace("line", "[^ ]*[0-9][^ ]*", WILDCARD))
-    lines = lines.withColumn("masked", masked)
-    lines = lines.withColumn("tokens", F.split("masked", " +"))
+    lines = split.select("_doc", "_text", F.posexplode("_lines").alias("place", "line"))
+    lines = lines.withColumn("masked", _masked(F.col("line")))
+    lines = lines.withColumn("tokens", F.split("masked", " "))
     leaf = F.xxhash64(F.size("tokens"), *(F.get("tokens", F.lit(k)) for k in range(depth)))
     return lines.select(
-        "_doc", "_text", "place", "tokens",
+        "_doc", "_text", "place",
         F.size("tokens").alias("n_tokens"),
         leaf.alias("leaf"),
         F.xxhash64("masked").alias("line_hash"),
@@ -56,16 +60,23 @@ def line_templates(
     # Only a leaf with several lines, together in enough texts, has variable fields to find.
     leaves = by_line.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("texts").alias("leaf_texts"))
     mixed = settle(leaves.where((F.col("n") > 1) & (F.col("leaf_texts") >= least_docs)), "line-leaves")
-    samples = hot_join(by_line, mixed.drop("leaf_texts"), ["leaf"], "n").select(
-        "leaf", "line_hash", "texts",
-        F.col("at.at._doc").alias("_doc"), F.col("at._text").alias("_text"), F.col("at.at.place").alias("place"),
-    )
+    samples = hot_join(by_line, mixed.drop("leaf_texts"), ["leaf"], "n")
     # One place of each such line; its tokens are read from the text there.
-    read = _lines(docs, text, depth).select("_doc", "_text", "place", "tokens", "line_hash", "leaf")
-    read = read.dropDuplicates(["_doc", "_text", "place"])
-    tokens = read.join(
-        samples, ["_doc", "_text", "place", "line_hash", "leaf"]
-    ).select("leaf", "line_hash", "texts", "tokens")
+    wanted = samples.groupBy(
+        F.col("at.at._doc").alias("_at_doc"), F.col("at._text").alias("_at_text")
+    ).agg(
+        F.collect_list(F.struct("leaf", "line_hash", "texts", F.col("at.at.place").alias("place"))).alias("wanted")
+    )
+    here = F.col("_doc").eqNullSafe(F.col("_at_doc")) & (F.xxhash64(F.col(text)) == F.col("_at_text"))
+    tokens = (
+        docs.join(wanted, here)
+        .select(F.split(F.col(text), "\n").alias("_lines"), F.explode("wanted").alias("w"))
+        .select(
+            "w.leaf", "w.line_hash", "w.texts",
+            F.split(_masked(F.get("_lines", F.col("w.place"))), " ").alias("tokens"),
+        )
+        .dropDuplicates(["leaf", "line_hash"])
+    )
     tokens = settle(tokens, "line-tokens")
     counted = (
         tokens.select("leaf", "texts", F.posexplode("tokens").alias("k", "token"))
@@ -113,7 +124,7 @@ def drop_recurring_lines(
     docs = dropping(docs, *ADDED)
     held = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_doc"), F.col(text))
     lines = _lines(held, text, depth).where(F.col("n_tokens") >= least_tokens)
-    keys = settle(lines.drop("tokens", "n_tokens"), "line-keys")
+    keys = settle(lines.drop("n_tokens"), "line-keys")
     templates = line_templates(held, keys, text, depth, least_docs, agreement)
     templates = settle(templates, "line-templates")
     placed = settle(hot_join(keys, templates, ["leaf", "line_hash"], "rows"), "line-places")
