@@ -30,11 +30,19 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 _shipped: set[str] = set()
 
 
+BATCH_ROWS = "2000"
+"""Rows of an Arrow batch: texts are long, so Spark's 10,000 rows would take much memory."""
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once, so that tasks find its functions wherever they run.
 
-    Spark's file server hands out the archive; no executor needs to see the driver's folder.
+    Spark's file server hands out the archive; no executor needs to see the driver's folder. The size
+    of Arrow batches is lowered too, unless the session has set its own.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, BATCH_ROWS)
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return

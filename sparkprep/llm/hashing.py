@@ -35,6 +35,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def by_fragment(rows: np.ndarray, hashes: np.ndarray, fragments: int) -> list[tuple[int, np.ndarray]]:
+    """The rows of each fragment that has any.
+
+    Hashes are mixed again first: those of seeds and anchors are least ones, so they are far from even.
+    """
+    fragment = (mixed(hashes) >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
+    order = np.argsort(fragment, kind="stable")
+    borders = np.searchsorted(fragment[order], np.arange(fragments + 1)).tolist()
+    return [(f, rows[order[a:b]]) for f, (a, b) in enumerate(zip(borders, borders[1:])) if b > a]
+
+
 class PrefixHashes:
     """Polynomial hashes of all prefixes of a byte string, so that any substring's is at hand."""
 

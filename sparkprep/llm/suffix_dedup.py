@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.llm.common import documents, dropping, hot_join, pieces
-from sparkprep.llm.hashing import PrefixHashes, mixed
+from sparkprep.llm.hashing import PrefixHashes, by_fragment, mixed
 from sparkprep.workspace import settle
 
 GRAM_SHARE = 4
@@ -136,15 +136,9 @@ def _scatter(length: int, fragments: int, chunk_bytes: int):
             told = found[shared]
             sent = found[first]
             sent["many"] = counts > 1
-            fragment = (sent["gram"] >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
-            borders = np.searchsorted(fragment, np.arange(fragments + 1))
-            rows = [
-                (f, 0, sent[a:b].tobytes())
-                for f, (a, b) in enumerate(zip(borders[:-1].tolist(), borders[1:].tolist()))
-                if b > a
-            ]
+            rows = [(f, 0, part.tobytes()) for f, part in by_fragment(sent, sent["gram"], fragments)]
             if len(told):
-                rows.append((int(fragment[0]), 1, told.tobytes()))
+                rows.append((int(told["node"][0] % fragments), 1, told.tobytes()))
             kinds, columns = (pa.int32(), pa.int32(), pa.binary()), zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, kind) for c, kind in zip(columns, kinds)], ["fragment", "kind", "anchors"]
@@ -405,7 +399,7 @@ def remove_repeats(
     key: str = "doc_id",
     length: int = 200,
     fragment_bytes: int = 8 << 20,
-    chunk_bytes: int = 2 << 20,
+    chunk_bytes: int = 1 << 19,
     hot_contexts: int = 20_000,
 ) -> DataFrame:
     """``docs`` without the text, with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (bytes).
