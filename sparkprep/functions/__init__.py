@@ -4,6 +4,7 @@ from sparkprep.functions.columns import column
 from sparkprep.functions.dates import as_timestamp, day_difference
 from sparkprep.functions.digests import DIGEST_BUCKETS, digest_bucket, key_digest
 from sparkprep.functions.text import tokens
+from sparkprep.functions.vectors import stored_entries
 
 __all__ = [
     "DIGEST_BUCKETS",
@@ -12,5 +13,6 @@ __all__ = [
     "day_difference",
     "digest_bucket",
     "key_digest",
+    "stored_entries",
     "tokens",
 ]

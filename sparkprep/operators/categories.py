@@ -57,11 +57,21 @@ def modes(counts: DataFrame) -> dict[str, str]:
 
 
 def impute_modes(df: DataFrame, values: dict[str, str], outputs: dict[str, str]) -> DataFrame:
-    """Copy each column of ``outputs`` to its output name with NULL replaced by its mode."""
+    """Copy each column of ``outputs`` to its output name with NULL replaced by its mode.
+
+    ``values`` must name a value for every column; add one for a column that has none of its own.
+    """
+    require_modes(values, list(outputs))
     filled = {out: F.coalesce(column(c), F.lit(values[c])) for c, out in outputs.items()}
     return df.withColumns(filled)
 
 
+def require_modes(values: dict[str, str], columns: Sequence[str]) -> None:
+    empty = [c for c in columns if c not in values]
+    if empty:
+        raise ValueError(f"no value to impute from in {empty}")
+
+
 def fold_missing(counts: DataFrame, values: dict[str, str]) -> DataFrame:
     """Counts as they stand after mode imputation: the NULL count goes to the mode.
 
@@ -133,10 +143,6 @@ def _size(table: DataFrame, *by: str) -> list[Row]:
     )
 
 
-def _tail_key(text: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("="), text), F.lit("?"))
-
-
 def attach(
     df: DataFrame,
     key: str,
@@ -152,9 +158,10 @@ def attach(
 
     ``table`` is a settled table with distinct ``category`` values, NULL included, and the count
     ``n`` of each. Its size is read first, unless given. A table within both bounds is broadcast. Of a larger one
-    only the hot categories are, those with more than ``1/max_hot`` of the counted rows, of which
-    there are fewer than ``max_hot``; the other rows go through a shuffle join, where none of
-    these keys is hot, while rows with a hot key are spread over all partitions by a salt.
+    only NULL and the hot categories are, those with more than ``1/max_hot`` of the counted rows, of
+    which there are fewer than ``max_hot``. Rows that these answer, and rows without a category, stay
+    where they are; only the others go through a shuffle join, where no fitted key is hot. ``df`` is
+    written once for that, since both parts read it.
     ``how="left"`` keeps every row, ``"inner"`` only those found; ``inner`` never matches NULL,
     as an equality join would not.
     """
@@ -175,34 +182,24 @@ def attach(
 
     max_hot = max(1, min(max_rows, max_bytes // max(1, size["longest"])))
     hot_floor = size["total"] / max_hot
-    hot = picked.where(F.col("_n") > hot_floor).select(
+    broadcast = (F.col("_n") > hot_floor) | F.col("_category").isNull()
+    hot = picked.where(broadcast).select(
         F.col("_category").alias("_hot_category"),
         F.lit(True).alias("_is_hot"),
         *(F.col(out).alias(f"_hot_{out}") for out in values.values()),
     )
-    tail = picked.where(F.col("_n") <= hot_floor).select(
-        _tail_key(F.col("_category")).alias("_tail_key"),
-        F.lit(True).alias("_is_tail"),
-        *values.values(),
-    )
-    marked = df.join(F.broadcast(hot), text.eqNullSafe(F.col("_hot_category")), "left")
-    hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-    lane = F.pmod(F.xxhash64(*(column(c) for c in hashable)), F.lit(4096)).cast("string")
-    # The lane is part of the text: as a key of its own the optimizer would fold it to a filter,
-    # since all tail rows share one value of it.
-    row_key = F.when(F.col("_is_hot"), F.concat(F.lit("#"), lane)).otherwise(_tail_key(text))
-    joined = marked.withColumn("_row_key", row_key).join(
-        tail, F.col("_row_key") == F.col("_tail_key"), "left"
-    )
-    if how == "inner":
-        joined = joined.where(F.col("_is_hot") | F.col("_is_tail"))
-    return joined.select(
-        *(column(c) for c in df.columns),
-        *(
-            F.when(F.col("_is_hot"), F.col(f"_hot_{out}")).otherwise(F.col(out)).alias(out)
-            for out in values.values()
-        ),
+    tail = picked.where(~broadcast).select("_category", *values.values())
+    marked = df.withColumn("_text", text)
+    marked = marked.join(F.broadcast(hot), F.col("_text").eqNullSafe(F.col("_hot_category")), "left")
+    marked = settle(marked, "marked")
+    kept = [column(c) for c in df.columns]
+    is_apart = F.col("_text").isNull() | F.coalesce(F.col("_is_hot"), F.lit(False))
+    apart = marked.where(is_apart if how == "left" else F.col("_is_hot")).select(
+        *kept, *(F.col(f"_hot_{out}").alias(out) for out in values.values())
     )
+    rest = marked.where(~is_apart).select(*kept, "_text")
+    found = rest.join(tail, F.col("_text") == F.col("_category"), how)
+    return found.select(*kept, *values.values()).unionAll(apart)
 
 
 def _attach_each(

@@ -24,15 +24,23 @@ def fit_means(df: DataFrame, columns: list[str], default: float | None = None) -
     return means
 
 
-def impute_means(df: DataFrame, outputs: dict[str, str]) -> DataFrame:
+def _mean_or_fail(name: str, default: float | None) -> Column:
+    """The mean, or the default of a column without values; without a default the query fails."""
+    message = F.lit(f"no values to average in [{name!r}]; pass a default")
+    otherwise = F.raise_error(message).cast("double") if default is None else F.lit(float(default))
+    return F.when(F.count(known(name)) > 0, F.avg(known(name))).otherwise(otherwise)
+
+
+def impute_means(df: DataFrame, outputs: dict[str, str], default: float | None = None) -> DataFrame:
     """Copy columns to their output names with NULL and NaN replaced by the column's mean.
 
     The means are scalar subqueries: Spark merges them into one aggregate, and the whole stays one
-    lazy plan.
+    lazy plan. A column of rows that are all missing has no mean: ``default`` stands in for it, or
+    the query fails as :func:`fit_means` does. A table without rows needs none.
     """
     return df.withColumns(
         {
-            out: F.coalesce(known(c), df.agg(F.avg(known(c))).scalar())
+            out: F.coalesce(known(c), df.agg(_mean_or_fail(c, default)).scalar())
             for c, out in outputs.items()
         }
     )

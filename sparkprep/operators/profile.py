@@ -106,6 +106,18 @@ def approx_unique_profile(df: DataFrame, rsd: float = 0.05) -> DataFrame:
     )
 
 
+def approx_within(df: DataFrame, rsd: float = 0.05, multiple: float = 4.0) -> DataFrame:
+    """``(column, n_unique, missing_row, within)``: exact counts, and whether the estimate is near.
+
+    Near is within ``multiple`` times ``rsd`` of the exact count, or one off it.
+    """
+    estimated = approx_unique_profile(df, rsd).select("column", F.col("n_unique").alias("estimate"))
+    exact = unique_profile(df).select("column", "n_unique", "missing_row")
+    allowed = F.greatest(F.lit(1.0), F.lit(multiple * rsd) * F.col("n_unique"))
+    within = F.abs(F.col("estimate") - F.col("n_unique")) <= allowed
+    return exact.join(estimated, "column").select("column", "n_unique", "missing_row", within.alias("within"))
+
+
 def schema_table(df: DataFrame) -> DataFrame:
     """The schema as rows ``(position, name, type, nullable)``."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema)]

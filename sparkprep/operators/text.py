@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF, Tokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sparkprep.functions import column, tokens
+from sparkprep.functions import column, stored_entries, tokens
 from sparkprep.operators.categories import attach
 from sparkprep.workspace import settle
 
@@ -50,8 +49,10 @@ def tfidf_terms(df: DataFrame, key: str, text: str, **bounds) -> DataFrame:
     Stop words are the hot keys of the lookup. The document frequencies tell which they are, so
     :func:`attach` broadcasts them and shuffles the long tail when the vocabulary is large.
     """
-    vocabulary = settle(document_frequencies(df, text), "document-frequencies")
-    documents = F.lit(df.count()).cast("double")
+    counted = Observation()
+    vocabulary = document_frequencies(df.observe(counted, F.count(F.lit(1)).alias("documents")), text)
+    vocabulary = settle(vocabulary, "document-frequencies")
+    documents = F.lit(counted.get["documents"]).cast("double")
     found = attach(term_frequencies(df, key, text), "term", vocabulary, {"n": "df"}, **bounds)
     idf = F.log((documents + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return found.withColumn("idf", idf).withColumn("tfidf", F.col("tf") * F.col("idf"))
@@ -63,7 +64,7 @@ def hashed_frequencies(df: DataFrame, key: str, text: str, buckets: int = 40) ->
     words = Tokenizer(inputCol="_text", outputCol="_words").transform(filled)
     vectors = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=buckets).transform(words)
     return (
-        vectors.select(column(key), vector_to_array("_tf").alias("_tf"))
-        .select(column(key), F.posexplode("_tf").alias("bucket", "tf"))
+        vectors.select(column(key), F.explode(stored_entries("_tf")).alias("_entry"))
+        .select(column(key), F.col("_entry.position").alias("bucket"), F.col("_entry.value").alias("tf"))
         .where(F.col("tf") > 0)
     )

@@ -67,14 +67,18 @@ def window_start(ts: Column, first: date, unit: str) -> Column:
 
 
 def window_counts(df: DataFrame, ts: str) -> DataFrame:
-    """Rows of each window over the table's own span, empty windows included."""
+    """Rows of each window over the table's own span, empty windows included.
+
+    Rows without a time are in no window.
+    """
     bounds = span(df, ts).first()
     spark = df.sparkSession
     if bounds["from_date"] is None:
         return spark.createDataFrame([], "from_date date, to_date date, n long")
     windows = plan_windows(fixed_span(spark, bounds["from_date"], bounds["to_date"]))
     unit = windows.first()["granularity"]
-    counted = df.groupBy(window_start(column(ts), bounds["from_date"], unit).alias("from_date")).agg(
+    dated = df.where(column(ts).isNotNull())
+    counted = dated.groupBy(window_start(column(ts), bounds["from_date"], unit).alias("from_date")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return windows.join(counted, "from_date", "left").select(

@@ -28,6 +28,7 @@ from sparkprep.operators.categories import (
     impute_modes,
     index_labels,
     modes,
+    require_modes,
 )
 from sparkprep.operators.numeric import impute_means
 from sparkprep.operators.stages import (
@@ -39,6 +40,8 @@ from sparkprep.schema import SchemaSpec
 from sparkprep.workspace import settle
 
 HASHED_TEXT_WIDTH = 40
+MAX_ONE_HOT = 1_000_000
+"""Labels of all one-hot columns together: the model holds them, so more are refused."""
 
 
 def feature_table(df: DataFrame, spec: SchemaSpec, *categories: str) -> DataFrame:
@@ -50,6 +53,7 @@ def feature_table(df: DataFrame, spec: SchemaSpec, *categories: str) -> DataFram
     imputed = {c: f"im_{c}" for c in names}
     counts = settle(category_counts(df, names), "category-counts")
     values = modes(counts)
+    require_modes(values, names)
     folded = fold_missing(counts, values).withColumn("column", F.concat(F.lit("im_"), "column"))
     labels = settle(index_labels(settle(folded, "folded-counts")), "labels")
     base = df.select(
@@ -121,18 +125,20 @@ def fit_features(
     """The model that ``feature_stages(...).fit(train)`` gives, with fewer passes over ``train``.
 
     Modes and index labels of all the categories come from one distributed count instead of two
-    passes. Only the labels reach the driver, as many as the one-hot vectors are wide.
+    passes. Only the labels reach the driver, as many as the one-hot vectors are wide, and their number
+    is checked first.
     """
     names = list(spec.one_hot)
     counts = settle(category_counts(train, names), "category-counts")
     values = modes(counts)
-    empty = [c for c in names if c not in values]
-    if empty:
-        raise ValueError(f"no value to impute from in {empty}")
+    require_modes(values, names)
     imputer = FrequencyImputerModel(inputCols=names, outputCols=list(spec.imputed_one_hot))
     imputer.setTopCategorys([values[c] for c in names])
 
     ordered = settle(index_labels(settle(fold_missing(counts, values), "folded-counts")), "labels")
+    width = ordered.count()
+    if width > MAX_ONE_HOT:
+        raise ValueError(f"{width} labels in {names}; one-hot vectors hold {MAX_ONE_HOT} at most")
     labels: dict[str, list[str]] = {c: [] for c in names}
     for row in ordered.orderBy("column", "position").collect():
         labels[row["column"]].append(row["category"])

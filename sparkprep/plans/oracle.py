@@ -282,6 +282,11 @@ def scores() -> str:
 REJECTED = (
     "complaint_id: unwanted column; company_public_response: contains many missing values"
 )
+RUN_REJECTED = "; ".join(
+    [f"{c}: contains many missing values" for c in COMPLAINTS.carried]
+    + ["sub_product: unwanted column", "complaint_what_happened: unwanted column"]
+    + ["company_public_response: contains many missing values"]
+)
 LANDED_EVENTS = "select event_id, user_id, event_type from events where event_type not in ('error', 'click')"
 
 ORACLE: dict[str, str] = {
@@ -306,6 +311,25 @@ ORACLE: dict[str, str] = {
     + """select granularity, cast(from_date as varchar) from_date, cast(to_date as varchar) to_date
         from windows""",
     "inc_window_counts": window_counts("orders", "o_orderdate"),
+    "inc_window_counts_sent": window_counts("sent", "date_sent_to_company").replace(
+        "with bounds",
+        "with " + COMPLAINTS_VIEW + ",\nsent as (select date_sent_to_company from complaints),\nbounds",
+        1,
+    ),
+    "inc_resume": on_complaints(
+        """select case when complaint_id % 20 = 0 then 'unkeyed' when complaint_id % 30 = 1 then 'undated'
+            when date_received < date '1993-01-01' then 'early' else 'store' end place, complaint_id
+        from complaints"""
+    ),
+    "inc_watermark_table": """with last as (select cast(max(o_orderdate) as date) d from orders),
+        loads as (select date '1990-01-01' f, date '1995-01-01' t
+            union all select date '1995-01-01', d from last union all select date '1994-01-01', d from last)
+        select cast(f as varchar) from_date, cast(t as varchar) to_date,
+            (select cast(max(t) as varchar) from loads) next_from from loads""",
+    "src_quarantine_rows": """select 'Throttled. Expected available in 42 seconds.' content,
+        false partly_parsed, count(*) n from events where event_type = 'error' having count(*) > 0""",
+    "stream_store_rows": """select event_id, case when event_id % 10 = 3 then 'undated' else 'store' end place
+        from events where event_type <> 'error'""",
     "inc_window_counts_events": window_counts("events", "ts"),
     "inc_slice": """select o_orderkey, o_orderdate from orders
         where o_orderdate >= timestamp '1997-01-01' and o_orderdate < timestamp '1998-01-01'""",
@@ -330,6 +354,14 @@ ORACLE: dict[str, str] = {
     "val_unique_profile": on_complaints(
         profile_row("count(distinct {c}) + max(case when {c} is null then 1 else 0 end) n_unique,")
     ),
+    "val_unique_profile_approx": on_complaints(
+        per_column(
+            """select '{c}' "column",
+            count(distinct {c}) + max(case when {c} is null then 1 else 0 end) n_unique,
+            count(*) - count({c}) missing_row, true as "within" from complaints""",
+            VIEW_COLUMNS,
+        )
+    ),
     "val_labelled": on_complaints(
         "select complaint_id, consumer_disputed from complaints where consumer_disputed is not null"
     ),
@@ -367,12 +399,13 @@ ORACLE: dict[str, str] = {
     ),
     "feat_one_hot": on_complaints(
         per_column(
-            f"""select complaint_id, '{{c}}' "column", position
-            from complaints join index_{{c}} on index_{{c}}.v = {{c}}
-            where position < (select max(position) from index_{{c}})
-            and {" and ".join(f"{c} is not null" for c in ONE_HOT)}"""
+            """select complaint_id, '{c}' "column", position
+            from filled join index_{c} on index_{c}.v = im_{c}
+            where position < (select max(position) from index_{c})"""
         ),
-        *INDEX_VIEWS,
+        *MODE_VIEWS,
+        f"filled as (select complaint_id, {IMPUTED} from complaints)",
+        *(index_view(f"index_{c}", "filled", f"im_{c}") for c in ONE_HOT),
     ),
     "feat_tokens": f"""select doc_id, count(*) n_tokens, count(*) filter (where term <> '') n_words
         from (select doc_id, unnest(regexp_split_to_array({TRIMMED}, '{SPACE}')) term from documents) w
@@ -399,6 +432,20 @@ ORACLE: dict[str, str] = {
         from entries join deviations using ("position") join complaints using (complaint_id)
         where deviation > 0"""
     ),
+    "model_reloaded": features(
+        """select complaint_id, consumer_disputed, cast("position" as integer) as "position",
+        round(value / deviation, 6) value
+        from entries join deviations using ("position") join complaints using (complaint_id)
+        where deviation > 0"""
+    ),
+    "stage_frequency_encoder": frequency_encoded("left"),
+    "stage_frequency_imputer": on_complaints(
+        f"select complaint_id, {IMPUTED} from complaints", *MODE_VIEWS
+    ),
+    "run_rejected": on_complaints(
+        f"""select complaint_id, company_public_response,
+        'complaint_id: unwanted column; {RUN_REJECTED}' error_msg from complaints"""
+    ),
     "run_feature_tables": on_complaints(
         f"""select case when {IN_TRAIN} then 'train' else 'test' end side, consumer_disputed,
         count(*) n from complaints group by 1, 2"""

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, OneHotEncoder
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.functions import as_timestamp, column, day_difference, tokens
-from sparkprep.operators import categories, evaluate, numeric, profile, sampling, text, validate
+from sparkprep.functions import as_timestamp, column, day_difference, stored_entries, tokens
+from sparkprep.operators import categories, evaluate, numeric, profile, sampling, stages, text, validate
 from sparkprep.operators import windows
 from sparkprep.plans import training
 from sparkprep.plans.features import apply_features, feature_table, fit_features
 from sparkprep.schema import COMPLAINTS
-from sparkprep.sources import landing, store
+from sparkprep.sources import landing, store, watermark
 from sparkprep.sources.tables import complaints, documents, table
 from sparkprep.streaming import load_new_files, stream_landing, stream_to_store
 from sparkprep.workspace import new_path, settle
@@ -100,6 +101,40 @@ def src_quarantine_count(spark, sf_dir):
     return landing.outcome_counts(landed)
 
 
+@query
+def src_quarantine_rows(spark, sf_dir):
+    """The dead-letter rows of a streamed load over several micro-batches, read back."""
+    root, payload = new_path(spark, "load"), spark.createDataFrame([], EVENT_PAYLOAD + ", ts string").schema
+    _stream_events(spark, sf_dir, root, payload)
+    found = spark.read.parquet(f"{root}/quarantine")
+    return found.groupBy("content", "partly_parsed").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_store_rows(spark, sf_dir):
+    """What a streamed load over several micro-batches has put in the store, and beside it."""
+    root, payload = new_path(spark, "load"), spark.createDataFrame([], EVENT_PAYLOAD + ", ts string").schema
+    _stream_events(spark, sf_dir, root, payload)
+    parts = [spark.read.parquet(f"{root}/store").select("event_id", F.lit("store").alias("place"))]
+    for name in ("unkeyed", "undated", "early"):
+        parts.append(spark.read.parquet(f"{root}/{name}").select("event_id", F.lit(name).alias("place")))
+    return sampling.union_by_name(parts)
+
+
+def _stream_events(spark, sf_dir, root: str, payload) -> None:
+    """Events as lines in three files, one to a micro-batch: errors as plain text, some without a date."""
+    moment = F.when(F.col("event_id") % 10 != 3, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    record = F.struct("event_id", "user_id", "event_type", moment.alias("ts"))
+    line = F.when(F.col("event_type") == "error", F.lit("Throttled. Expected available in 42 seconds."))
+    line = line.otherwise(F.to_json(F.struct(record.alias("_source"))))
+    events = table(spark, sf_dir, "events").select(line.alias("value"))
+    events.repartition(3).write.text(f"{root}/landing")
+    stream_to_store(
+        stream_landing(spark, f"{root}/landing", payload, max_files=1), f"{root}/progress", root=root,
+        store=f"{root}/store", key="event_id", received="ts",
+    )
+
+
 @query
 def src_feature_store(spark, sf_dir):
     """Two loads that overlap by a quarter, with each record stored once."""
@@ -141,6 +176,70 @@ def inc_window_counts(spark, sf_dir):
     return counted.select(day("from_date"), day("to_date"), "n")
 
 
+@query
+def inc_window_counts_sent(spark, sf_dir):
+    """Over a date that some rows lack: those are in no window."""
+    counted = windows.window_counts(complaints(spark, sf_dir, KEY, "date_sent_to_company"), "date_sent_to_company")
+    return counted.select(day("from_date"), day("to_date"), "n")
+
+
+def _land(records: DataFrame, path: str) -> None:
+    records.select(F.struct("*").alias(landing.ENVELOPE)).write.mode("append").json(path)
+
+
+def _run_config(spark, **changes) -> training.RunConfig:
+    root = new_path(spark, "run")
+    settings = {
+        "root": root, "run_id": "first", "landing": f"{root}/landing", "from_date": date(1900, 1, 1),
+        "to_date": date(2100, 1, 1), "min_start": date(1993, 1, 1), **changes,
+    }
+    return training.RunConfig(**settings)
+
+
+@query
+def inc_resume(spark, sf_dir):
+    """Orders landed in two parts, the second with late ones, and loaded twice each.
+
+    Every twentieth record has no key and every thirtieth no readable date. What is returned is where
+    each record ended: the store, or a table of the run that met it.
+    """
+    first = _run_config(spark, to_date=date(1996, 1, 1))
+    second = replace(first, run_id="second", to_date=date(2100, 1, 1))
+    received = F.date_format("date_received", "yyyy-MM-dd")
+    records = complaints(spark, sf_dir, KEY, "date_received").select(
+        F.when(F.col(KEY) % 20 != 0, F.col(KEY).cast("string")).alias(KEY),
+        F.when(F.col(KEY) % 30 != 1, received).otherwise("soon").alias("date_received"),
+        F.col(KEY).cast("string").alias("issue"),
+        F.col(KEY).alias("_number"),
+        F.col("date_received").alias("_received"),
+    )
+    early = (F.col("_received") < F.lit(date(1996, 1, 1))) & (F.col("_number") % 7 != 0)
+    for config, part in ((first, records.where(early)), (second, records.where(~early))):
+        _land(part.drop("_number", "_received"), config.landing)
+        for _ in range(2):
+            training.ingest(spark, config)
+    stored = training.read_store(spark, second, date(2100, 1, 1)).select(F.lit("store").alias("place"), "issue")
+    sides = [
+        spark.read.parquet(config.output(name)).select(F.lit(name).alias("place"), "issue")
+        for config in (first, second)
+        for name in ("unkeyed", "undated", "early")
+    ]
+    found = sampling.union_by_name([stored, *sides])
+    return found.select("place", F.col("issue").cast("long").alias(KEY))
+
+
+@query
+def inc_watermark_table(spark, sf_dir):
+    """The watermark table after three loads, and the range that the next load would take."""
+    path, orders = new_path(spark, "watermark"), table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderdate").cast("date")).first()[0]
+    for first, to in ((date(1990, 1, 1), date(1995, 1, 1)), (date(1995, 1, 1), last), (date(1994, 1, 1), last)):
+        watermark.advance(spark, path, first, to, "store")
+    following, _ = windows.resolve_span(date(1990, 1, 1), None, None, watermark.latest(spark, path))
+    marks = watermark.watermarks(spark, path)
+    return marks.select(day("from_date"), day("to_date"), F.lit(str(following)).alias("next_from"))
+
+
 @query
 def inc_window_counts_events(spark, sf_dir):
     counted = windows.window_counts(table(spark, sf_dir, "events"), "ts")
@@ -199,7 +298,8 @@ def val_unique_profile(spark, sf_dir):
 
 @query
 def val_unique_profile_approx(spark, sf_dir):
-    return profile.approx_unique_profile(complaints(spark, sf_dir))
+    """Exact distinct counts, and whether the estimates are near them."""
+    return profile.approx_within(complaints(spark, sf_dir))
 
 
 @query
@@ -311,20 +411,30 @@ def feat_string_index(spark, sf_dir):
 
 @query
 def feat_one_hot(spark, sf_dir):
-    """Set positions of the one-hot vectors; the last label of a column has none."""
+    """Set positions of the one-hot vectors of all rows; the last label of a column has none.
+
+    Modes fill what is missing first, so that every row has a vector.
+    """
     names = list(COMPLAINTS.indexed_one_hot)
-    indexed = _indexed(spark, sf_dir).dropna(subset=names)
+    df = settle(_categories(spark, sf_dir), "categories")
+    counts = settle(categories.category_counts(df, COMPLAINTS.one_hot), "category-counts")
+    values = categories.modes(counts)
+    filled = categories.impute_modes(df, values, {c: c for c in COMPLAINTS.one_hot})
+    labels = settle(
+        categories.index_labels(settle(categories.fold_missing(counts, values), "folded")), "labels"
+    )
+    indexed = categories.encode_index(filled, labels, {c: f"si_{c}" for c in COMPLAINTS.one_hot})
     indexed = settle(indexed.select(KEY, *(F.col(c).cast("double") for c in names)), "indexed")
     outputs = [f"v_{c}" for c in COMPLAINTS.one_hot]
     encoded = OneHotEncoder(inputCols=names, outputCols=outputs).fit(indexed).transform(indexed)
     arrays = encoded.select(
-        KEY, *(vector_to_array(v).alias(c) for v, c in zip(outputs, COMPLAINTS.one_hot))
+        KEY, *(stored_entries(v).alias(c) for v, c in zip(outputs, COMPLAINTS.one_hot))
     )
     long = arrays.unpivot([KEY], list(COMPLAINTS.one_hot), "column", "entries")
     return (
-        long.select(KEY, "column", F.posexplode("entries").alias("position", "entry"))
-        .where(F.col("entry") == 1.0)
-        .select(KEY, "column", F.col("position").cast("long").alias("position"))
+        long.select(KEY, "column", F.explode("entries").alias("entry"))
+        .where(F.col("entry.value") == 1.0)
+        .select(KEY, "column", F.col("entry.position").cast("long").alias("position"))
     )
 
 
@@ -361,7 +471,8 @@ def feat_tfidf_hashed(spark, sf_dir):
     hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=40).transform(words)
     weighted = IDF(inputCol="tf", outputCol="tfidf").fit(hashed).transform(hashed)
     return (
-        weighted.select("doc_id", F.posexplode(vector_to_array("tfidf")).alias("bucket", "tfidf"))
+        weighted.select("doc_id", F.explode(stored_entries("tfidf")).alias("entry"))
+        .select("doc_id", F.col("entry.position").alias("bucket"), F.col("entry.value").alias("tfidf"))
         .where(F.col("tfidf") != 0)
         .select("doc_id", "bucket", *rounded("tfidf"))
     )
@@ -377,7 +488,8 @@ def _features(spark, sf_dir):
 
 def _entries(df: DataFrame, vector: str, *keep: str) -> DataFrame:
     """The non-zero entries of a vector column, one to a row."""
-    long = df.select(*keep, F.posexplode(vector_to_array(vector)).alias("position", "value"))
+    long = df.select(*keep, F.explode(stored_entries(vector)).alias("entry"))
+    long = long.select(*keep, "entry.position", "entry.value")
     return long.where(F.col("value") != 0).select(*keep, "position", *rounded("value"))
 
 
@@ -394,21 +506,51 @@ def feature_vectors(spark, sf_dir):
     return _entries(vectors, COMPLAINTS.scaled, KEY, COMPLAINTS.target)
 
 
+@query
+def run_rejected(spark, sf_dir):
+    """The columns that a run rejects, read back from where it wrote them."""
+    config = _run_config(spark, min_start=date(1900, 1, 1))
+    _land(complaints(spark, sf_dir), config.landing)
+    ingested = training.ingest(spark, config)
+    training.validate_store(spark, config, ingested)
+    found = spark.read.parquet(config.output("rejected"))
+    return found.select(F.col(KEY).cast("long").alias(KEY), "company_public_response", "error_msg")
+
+
+@query
+def model_reloaded(spark, sf_dir):
+    """Vectors of a model that was saved and loaded again."""
+    model, df = _features(spark, sf_dir)
+    path = new_path(spark, "model")
+    model.write().save(path)
+    vectors = apply_features(PipelineModel.load(path), df, COMPLAINTS, KEY)
+    return _entries(vectors, COMPLAINTS.scaled, KEY, COMPLAINTS.target)
+
+
+@query
+def stage_frequency_encoder(spark, sf_dir):
+    """The fitted encoder stage, saved, loaded and applied; as the functions give it."""
+    df = _categories(spark, sf_dir)
+    train, _ = sampling.split(df, KEY)
+    outputs = [f"freq_{c}" for c in COMPLAINTS.one_hot]
+    model = stages.FrequencyEncoder(inputCols=list(COMPLAINTS.one_hot), outputCols=outputs).fit(train)
+    path = new_path(spark, "encoder")
+    model.write().save(path)
+    return stages.FrequencyEncoderModel.read().load(path).transform(df).select(KEY, *outputs)
+
+
+@query
+def stage_frequency_imputer(spark, sf_dir):
+    df = _categories(spark, sf_dir)
+    imputer = stages.FrequencyImputer(inputCols=list(MODES), outputCols=list(MODES.values()))
+    return imputer.fit(df).transform(df).select(KEY, *MODES.values())
+
+
 @query
 def run_feature_tables(spark, sf_dir):
     """A whole run, from landed JSON to the written feature tables, counted by side and label."""
-    root = new_path(spark, "run")
-    config = training.RunConfig(
-        root=root,
-        run_id="first",
-        landing=f"{root}/landing",
-        from_date=date(1900, 1, 1),
-        to_date=date(2100, 1, 1),
-        min_start=date(1900, 1, 1),
-        whole_files=False,
-    )
-    records = complaints(spark, sf_dir)
-    records.select(F.struct("*").alias(landing.ENVELOPE)).write.json(config.landing)
+    config = _run_config(spark, min_start=date(1900, 1, 1))
+    _land(complaints(spark, sf_dir), config.landing)
     out = training.run(spark, config)
     sides = [
         spark.read.parquet(path).select(F.lit(side).alias("side"), COMPLAINTS.target)
@@ -507,15 +649,14 @@ def stream_batch_profile(spark, sf_dir):
     records = complaints(spark, sf_dir, *fields)
     records.select(F.struct(*fields).alias(landing.ENVELOPE)).write.json(path)
     payload = spark.createDataFrame([], ", ".join(f"{c} string" for c in fields)).schema
-    profiles = new_path(spark, "profiles")
+    root = new_path(spark, "load")
     stream_to_store(
-        stream_landing(spark, path, payload, whole_files=False),
-        new_path(spark, "progress"),
-        store=new_path(spark, "store"),
-        quarantine=new_path(spark, "quarantine"),
-        profiles=profiles,
+        stream_landing(spark, path, payload),
+        f"{root}/progress",
+        root=root,
+        store=f"{root}/store",
         key=KEY,
         received="date_received",
     )
-    totals = spark.read.parquet(profiles).groupBy("column")
+    totals = spark.read.parquet(f"{root}/profiles").groupBy("column")
     return totals.agg(*(F.sum(c).alias(c) for c in ("total_row", "missing_row")))

@@ -8,14 +8,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkprep.functions import as_timestamp
+from sparkprep.functions import column
 from sparkprep.operators import sampling, validate, windows
 from sparkprep.plans.features import apply_features, fit_features
 from sparkprep.schema import COMPLAINTS, SchemaSpec
 from sparkprep.sources import landing, store, watermark
-from sparkprep.workspace import settle
+from sparkprep.streaming import stage_new_files, stream_landing
+from sparkprep.workspace import discard, scratch
 
 # Fixed value: nothing received before this day is loaded by default.
 MIN_START = date(2023, 5, 1)
@@ -35,7 +37,7 @@ class RunConfig:
     balanced: bool = False
     test_size: float = 0.3
     unseen: str = "keep"
-    whole_files: bool = True
+    whole_files: bool = False
 
     @property
     def store(self) -> str:
@@ -45,6 +47,16 @@ class RunConfig:
     def watermark(self) -> str:
         return f"{self.root}/watermark"
 
+    @property
+    def progress(self) -> str:
+        """Which landed files have been read."""
+        return f"{self.root}/progress"
+
+    @property
+    def staging(self) -> str:
+        """What was parsed and is not yet loaded."""
+        return f"{self.root}/staging"
+
     def output(self, name: str) -> str:
         return f"{self.root}/runs/{self.run_id}/{name}"
 
@@ -54,6 +66,8 @@ class Ingested:
     store: str
     quarantine: str
     undated: str
+    unkeyed: str
+    early: str
     from_date: date
     to_date: date
 
@@ -75,12 +89,14 @@ class Transformed:
 
 
 def ingest(spark: SparkSession, config: RunConfig) -> Ingested:
-    """Append the landed records of the next date range to the store, then move the watermark.
-
-    Text that is no JSON goes to the quarantine, and records whose date cannot be read to the
-    undated table, since no date range will ever hold them. The watermark moves only after all
-    writes have committed, and loading a range again adds nothing, so a run that failed half-way is
-    simply repeated.
+    """Append what has landed since the last run to the store, then move the watermark.
+
+    Only files that no run has read are parsed. Every record with a key and a date from ``min_start``
+    on is stored, however late it lands; ``to_date`` holds when the store is read. Others go to tables
+    of the run: text that is no JSON to the quarantine, and records without a key, without a readable
+    date, or from before ``min_start`` to ``unkeyed``, ``undated`` and ``early``. The watermark moves
+    only after all writes have committed. A run that failed half-way is repeated: what it had parsed is
+    still staged, and loading it again adds nothing.
     """
     spec = config.spec
     first, last = windows.resolve_span(
@@ -89,31 +105,35 @@ def ingest(spark: SparkSession, config: RunConfig) -> Ingested:
         config.min_start,
         watermark.latest(spark, config.watermark),
     )
-    done = Ingested(
-        config.store, config.output("quarantine"), config.output("undated"), first, last
-    )
+    names = ("quarantine", "undated", "unkeyed", "early")
+    done = Ingested(config.store, *map(config.output, names), first, last)
     if first >= last:
         return done
-    # Parsed once and written: the three tables below read columns of it, not the JSON again.
-    landed = settle(
-        landing.read_landing(spark, config.landing, spec.landing, config.whole_files), "landed"
-    )
-    payloads = landing.unwrap(landed)
-    records = landing.typed(payloads, spec)
-    store.append_to_store(
-        windows.time_slice(records, spec.date_end, first, last), config.store, spec.key, spec.date_end
-    )
-    landing.corrupt(landed).write.mode("overwrite").parquet(done.quarantine)
-    undated = payloads.where(as_timestamp(spec.date_end).isNull())
-    undated.write.mode("overwrite").parquet(done.undated)
+    stream = stream_landing(spark, config.landing, spec.landing, config.whole_files)
+    landed = stage_new_files(stream, config.staging, config.progress)
+    if landed is not None:
+        landing.corrupt(landed).write.mode("overwrite").parquet(done.quarantine)
+        payloads = landing.unwrap(landed)
+        parts = store.sorted_records(payloads, spec.key, spec.date_end, config.min_start)
+        for name in names[1:]:
+            parts[name].write.mode("overwrite").parquet(config.output(name))
+        records = landing.typed(parts["store"], spec)
+        store.append_to_store(records, config.store, spec.key, spec.date_end)
     watermark.advance(spark, config.watermark, first, last, config.store)
+    discard(spark, config.staging)
     return done
 
 
+def read_store(spark: SparkSession, config: RunConfig, before: date) -> DataFrame:
+    """The stored records received before a day."""
+    df = store.read_table(spark, config.store, config.spec.stored)
+    return df.where(column(config.spec.date_end) < F.lit(before)).drop(store.MONTH)
+
+
 def validate_store(spark: SparkSession, config: RunConfig, ingested: Ingested) -> Validated:
     """Write sparse and unwanted columns apart and the others, with the key, as accepted."""
     spec = config.spec
-    df = store.read_table(spark, ingested.store, spec.stored).drop(store.MONTH)
+    df = read_store(spark, config, ingested.to_date)
     df = sampling.take(df, spec.key, config.row_cap)
     reasons = validate.columns_to_reject(df, spec.unwanted, config.missing_threshold)
     accepted = validate.accepted_columns(df, reasons, keep=[spec.key])
@@ -128,6 +148,7 @@ def transform(spark: SparkSession, config: RunConfig, validated: Validated) -> T
     spec = config.spec
     df = store.read_table(spark, validated.accepted)
     if config.balanced:
+        # no shuffle: the split below goes by key digests, as an order by them would
         df = sampling.balance(df, spec.key, spec.target)
     train, test = sampling.split(df, spec.key, config.test_size)
     model = fit_features(train, spec, config.unseen)
@@ -141,4 +162,6 @@ def transform(spark: SparkSession, config: RunConfig, validated: Validated) -> T
 
 
 def run(spark: SparkSession, config: RunConfig) -> Transformed:
-    return transform(spark, config, validate_store(spark, config, ingest(spark, config)))
+    """All stages. What they settled on the way is deleted at the end, also after a failure."""
+    with scratch(spark):
+        return transform(spark, config, validate_store(spark, config, ingest(spark, config)))

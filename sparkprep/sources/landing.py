@@ -21,12 +21,12 @@ def landing_schema(payload: T.StructType) -> T.StructType:
 
 
 def read_landing(
-    spark: SparkSession, path: str, payload: T.StructType, whole_files: bool = True
+    spark: SparkSession, path: str, payload: T.StructType, whole_files: bool = False
 ) -> DataFrame:
     """All landed files under ``path`` in one scan, with the given schema and the file's name.
 
-    ``whole_files`` reads each file as one JSON document, as an array of records is. Without it
-    every line is a record of its own, which Spark can split across tasks.
+    Every line is a record of its own, which Spark can split across tasks. ``whole_files`` reads each
+    file as one JSON document, as an array of records is, in one task.
     """
     return (
         spark.read.schema(landing_schema(payload))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,41 +31,51 @@ def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
     """One record per key: the greatest by column order, so the choice is repeatable.
 
-    Copies meet as partial aggregates. Rows without a key cannot be told apart and all stay.
+    Keys are counted first, which moves keys only; records are compared for the keys that repeat.
+    Rows without a key are left out. ``df`` is read three times and should be a table.
     """
-    others = [c for c in df.columns if c != key]
-    if not others:
-        return df.where(column(key).isNotNull()).distinct().unionAll(df.where(column(key).isNull()))
+    keyed = df.where(column(key).isNotNull())
+    counted = keyed.groupBy(column(key)).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = settle(counted.where("_n > 1").select(column(key)), "repeated-keys")
+    others = [column(c) for c in df.columns if c != key] or [column(key)]
     picked = (
-        df.where(column(key).isNotNull())
+        keyed.join(repeated, key, "left_semi")
         .groupBy(column(key))
-        .agg(F.max(F.struct(*(column(c) for c in others))).alias("_record"))
-        .select(column(key), "_record.*")
+        .agg(F.max(F.struct(*others)).alias("_record"))
     )
-    return picked.select(*(column(c) for c in df.columns)).unionAll(df.where(column(key).isNull()))
+    if df.columns != [key]:
+        picked = picked.select(column(key), "_record.*")
+    picked = picked.select(*(column(c) for c in df.columns))
+    return keyed.join(repeated, key, "left_anti").select(*(column(c) for c in df.columns)).unionAll(picked)
 
 
-def unseen(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+def unseen(
+    df: DataFrame, stored: DataFrame, key: str, offered: DataFrame | None = None
+) -> DataFrame:
     """Rows whose key the store lacks.
 
-    The stored keys are first cut down to those in ``df``. With a batch that is small enough to
-    broadcast, the store is read map-side, one column of it, and is never shuffled.
+    The stored keys are first cut down to those in ``df`` (or ``offered``, a table with at least the
+    same keys). With a batch that is small enough to broadcast, the store is read map-side, one column
+    of it, and is never shuffled.
     """
-    seen = stored.select(column(key)).join(df.select(column(key)), key, "left_semi")
+    keys = (df if offered is None else offered).select(column(key))
+    seen = stored.select(column(key)).join(keys, key, "left_semi")
     return df.join(seen, key, "left_anti")
 
 
 def append_to_store(df: DataFrame, path: str, key: str, received: str) -> None:
     """Append new records, partitioned by month of receipt, in one write.
 
-    Records already stored are skipped, so loading a batch twice equals loading it once. The
+    Records already stored are skipped, so loading a batch twice equals loading it once. Records
+    without a key can't be told apart and are left out; :func:`sorted_records` names them. The
     rebalance hint makes Spark split a month that is too large for one task and join small ones. A
     batch with no new record writes nothing.
     """
-    fresh = one_per_key(df, key)
+    batch = settle(df.where(column(key).isNotNull()), "batch")
+    fresh = one_per_key(batch, key)
     stored = read_if_present(df.sparkSession, path, T.StructType([df.schema[key]]))
     if stored is not None:
-        fresh = unseen(settle(fresh, "batch"), stored, key)
+        fresh = unseen(fresh, stored, key, batch)
     month = F.date_format(F.trunc(as_timestamp(received), "month"), "yyyy-MM")
     (
         fresh.withColumn(MONTH, month)
@@ -74,6 +86,24 @@ def append_to_store(df: DataFrame, path: str, key: str, received: str) -> None:
     )
 
 
+def sorted_records(
+    df: DataFrame, key: str, received: str, min_start: date | None = None
+) -> dict[str, DataFrame]:
+    """Where each record belongs: ``store``, ``unkeyed``, ``undated`` or ``early``; each in one of them.
+
+    ``early`` are records received before ``min_start``. Nothing is dropped on the way to the store
+    without being in one of the other tables.
+    """
+    has_key, moment = column(key).isNotNull(), as_timestamp(received)
+    early = moment < F.lit(min_start) if min_start else F.lit(False)
+    return {
+        "store": df.where(has_key & moment.isNotNull() & ~early),
+        "unkeyed": df.where(~has_key),
+        "undated": df.where(has_key & moment.isNull()),
+        "early": df.where(has_key & moment.isNotNull() & early),
+    }
+
+
 def write_once(df: DataFrame, path: str) -> int:
     """Write to a path that must not exist yet, and return the number of rows written.
 

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.workspace import stored_bytes
-
-SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
-
 VIEW_COLUMNS = (
     "complaint_id",
     "date_received",
@@ -27,17 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, with a small file's rows spread over the cores.
-
-    Splitting text costs far more than reading it, and a row group cannot be divided by the scan. So
-    less than 16 MB of files per core is shuffled once by key; anything larger has row groups
-    enough, and is read as it lies.
-    """
-    df = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    if stored_bytes(spark, f"{sf_dir}/documents.parquet") < cores * SMALL_BYTES_PER_CORE:
-        return df.repartition(cores, "doc_id")
-    return df
+    return table(spark, sf_dir, "documents")
 
 
 def complaints(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

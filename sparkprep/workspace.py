@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,8 +35,27 @@ def _session_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/sparkprep-{application}"
 
 
+_open_scopes: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for held in _open_scopes[-1:]:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is settled inside when the block ends, also after a failure."""
+    held: list[str] = []
+    _open_scopes.append(held)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(held)
+        for path in held:
+            discard(spark, path)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -56,9 +77,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(located)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table, if it is there."""
     located, files = _hadoop(spark, path)
-    return files.getContentSummary(located).getLength()
+    files.delete(located, True)
 
 
 def discard_settled(spark: SparkSession) -> None:

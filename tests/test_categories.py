@@ -108,15 +108,45 @@ def test_attach_rejects_other_joins(spark):
         c.attach(spark.range(1), "id", spark.range(1), {}, how="outer")
 
 
-def test_hot_rows_are_spread(spark, skewed):
-    """With the table too large to broadcast, no shuffle partition gets all the hot rows."""
-    counts = settle(c.category_counts(skewed, ["s"]), "t")
-    encoded = c.encode_frequency(skewed, counts, {"s": "f"}, max_rows=20)
+@pytest.mark.parametrize("half", ["hot", None])
+@pytest.mark.parametrize("how", ["left", "inner", "index"])
+def test_hot_rows_are_spread(spark, half, how):
+    """With the table too large to broadcast, no partition gets the rows of one value, or without one.
+
+    The frame has the category column alone, so rows of one value are alike.
+    """
+    value = F.when(F.col("id") % 2 == 0, F.lit(half).cast("string")).otherwise(F.concat(F.lit("v"), F.col("id") % 997))
+    df = spark.range(0, 40_000, 1, 8).select(value.alias("s"))
+    counts = settle(c.category_counts(df, ["s"]), "t")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        sizes = encoded.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        if how == "index":
+            found = c.encode_index(df, settle(c.index_labels(counts), "t"), {"s": "f"}, max_rows=20)
+        else:
+            found = c.encode_frequency(df, counts, {"s": "f"}, how=how, max_rows=20)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        total = found.count()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert max(r["count"] for r in sizes) < 6000 / 4
+    assert total == (20_000 if how == "inner" and half is None else 40_000)
+    assert max(sizes) <= 2 * total / 8
+
+
+def test_modes_of_an_empty_column_are_named(spark):
+    df = spark.createDataFrame([(None,), (None,)], "s string")
+    values = c.modes(c.category_counts(df, ["s"]))
+    with pytest.raises(ValueError, match="no value to impute from in .'s'"):
+        c.impute_modes(df, values, {"s": "t"})
+    assert c.impute_modes(df, {"s": "x"}, {"s": "t"}).first()["t"] == "x"
+
+
+def test_means_of_an_empty_column_fail_or_take_the_default(spark):
+    from sparkprep.operators import numeric
+
+    df = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    with pytest.raises(Exception, match="no values to average"):
+        numeric.impute_means(df, {"x": "y"}).collect()
+    assert [r["y"] for r in numeric.impute_means(df, {"x": "y"}, default=1.5).collect()] == [1.5, 1.5]
+    assert numeric.impute_means(df.limit(0), {"x": "y"}, default=0.0).count() == 0

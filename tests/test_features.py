@@ -258,6 +258,9 @@ def test_feature_table_matches_the_ml_stages(spark, accepted):
 def test_one_hot_query_matches_the_ml_stage(spark):
     long = QUERIES["feat_one_hot"](spark, SF_DIR)
     df = complaints(spark, SF_DIR, "complaint_id", *COMPLAINTS.one_hot)
+    names = list(COMPLAINTS.one_hot)
+    df = FrequencyImputer(inputCols=names, outputCols=list(COMPLAINTS.imputed_one_hot)).fit(df).transform(df)
+    df = df.select("complaint_id", *(F.col(f"im_{c}").alias(c) for c in names))
     indexer = StringIndexer(
         inputCols=list(COMPLAINTS.one_hot), outputCols=list(COMPLAINTS.indexed_one_hot), handleInvalid="skip"
     )

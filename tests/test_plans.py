@@ -42,7 +42,5 @@ def test_null_filter_reaches_the_scan(spark):
     assert "IsNull(o_orderpriority)" in plan(df)
 
 
-def test_only_small_files_are_spread(spark, monkeypatch):
-    assert "Exchange" in plan(tables.documents(spark, SF_DIR))
-    monkeypatch.setattr(tables, "SMALL_BYTES_PER_CORE", 0)
+def test_documents_are_read_as_they_lie(spark):
     assert "Exchange" not in plan(tables.documents(spark, SF_DIR))

@@ -35,7 +35,7 @@ def landed(tmp_path):
 
 
 def test_landing_scan(spark, landed):
-    df = landing.read_landing(spark, str(landed), PAYLOAD)
+    df = landing.read_landing(spark, str(landed), PAYLOAD, whole_files=True)
     found = {r["complaint_id"]: r["issue"] for r in landing.unwrap(df).collect()}
     assert found == {"1": "x", "2": None}
     bad = landing.corrupt(df).collect()
@@ -80,10 +80,11 @@ def test_store_keeps_one_record_per_key(spark, tmp_path):
     assert len(found) == 3
 
 
-def test_rows_without_a_key_all_stay(spark):
+def test_rows_without_a_key_are_kept_apart(spark):
     df = batch(spark, (None, "a", None), (None, "a", None), ("1", "a", None), ("1", "a", None))
-    assert store.one_per_key(df, "complaint_id").count() == 3
-    assert store.one_per_key(df.select("complaint_id"), "complaint_id").count() == 3
+    assert [r["complaint_id"] for r in store.one_per_key(df, "complaint_id").collect()] == ["1"]
+    assert store.sorted_records(df, "complaint_id", "date_received")["unkeyed"].count() == 2
+    assert store.one_per_key(df.select("complaint_id"), "complaint_id").count() == 1
 
 
 def test_empty_batch_writes_nothing(spark, tmp_path):
@@ -148,7 +149,7 @@ def test_stream_loads_each_file_once(spark, landed, tmp_path):
     target, progress = str(tmp_path / "target"), str(tmp_path / "progress")
 
     def run():
-        load_new_files(stream_landing(spark, str(landed), PAYLOAD), target, progress)
+        load_new_files(stream_landing(spark, str(landed), PAYLOAD, whole_files=True), target, progress)
         return sorted(r["complaint_id"] for r in spark.read.parquet(target).collect())
 
     assert run() == ["1", "2"]
@@ -158,28 +159,72 @@ def test_stream_loads_each_file_once(spark, landed, tmp_path):
 
 
 def test_stream_to_store(spark, landed, tmp_path):
-    paths = {k: str(tmp_path / k) for k in ("store", "quarantine", "profiles")}
+    root, target = str(tmp_path / "load"), str(tmp_path / "store")
 
     def run(progress):
         stream_to_store(
-            stream_landing(spark, str(landed), PAYLOAD, max_files=1),
+            stream_landing(spark, str(landed), PAYLOAD, whole_files=True, max_files=1),
             str(tmp_path / progress),
+            root=root,
+            store=target,
             key="complaint_id",
             received="date_received",
-            **paths,
+            min_start=date(2023, 1, 1),
         )
-        return store.read_table(spark, paths["store"]).count()
+        return store.read_table(spark, target).count()
 
     assert run("p1") == 2
-    assert spark.read.parquet(paths["quarantine"]).count() == 1
-    profile = spark.read.parquet(paths["profiles"])
+    assert spark.read.parquet(f"{root}/quarantine").count() == 1
+    profile = spark.read.parquet(f"{root}/profiles")
     assert profile.where("column = 'issue'").groupBy().sum("missing_row").first()[0] == 1
-    (landed / "d.json").write_text(json.dumps([record("2"), record("3")]))
+    more = [record("2"), record("3"), record(None), record("4", received="soon"), record("5", received="2022-12-31")]
+    (landed / "d.json").write_text(json.dumps(more))
     assert run("p1") == 3
+    for name, keys in (("unkeyed", [None]), ("undated", ["4"]), ("early", ["5"])):
+        assert [r["complaint_id"] for r in spark.read.parquet(f"{root}/{name}").collect()] == keys
+    assert run("p1") == 3  # nothing new has landed
     # From an empty checkpoint every file is loaded again, which must not add a row.
     assert run("p2") == 3
 
 
+def test_stream_looks_at_the_store_once(spark, tmp_path, monkeypatch):
+    from sparkprep.streaming import landing as streaming
+
+    for k in range(4):
+        (tmp_path / "landing").mkdir(exist_ok=True)
+        (tmp_path / "landing" / f"{k}.json").write_text(json.dumps(record(str(k))))
+    calls = []
+    monkeypatch.setattr(streaming, "append_to_store", lambda *a: calls.append(a) or store.append_to_store(*a))
+    stream_to_store(
+        stream_landing(spark, str(tmp_path / "landing"), PAYLOAD, max_files=1), str(tmp_path / "p"),
+        root=str(tmp_path / "load"), store=str(tmp_path / "store"), key="complaint_id", received="date_received",
+    )
+    assert len(calls) == 1 and store.read_table(spark, str(tmp_path / "store")).count() == 4
+
+
+def test_failed_load_is_taken_up_again(spark, tmp_path, monkeypatch):
+    from sparkprep.streaming import landing as streaming
+
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a.json").write_text(json.dumps(record("1")))
+
+    def run():
+        stream_to_store(
+            stream_landing(spark, str(tmp_path / "landing"), PAYLOAD), str(tmp_path / "p"),
+            root=str(tmp_path / "load"), store=str(tmp_path / "store"), key="complaint_id", received="date_received",
+        )
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(streaming, "append_to_store", fail)
+        with pytest.raises(RuntimeError):
+            run()
+    run()
+    assert store.read_table(spark, str(tmp_path / "store")).count() == 1
+
+
 def test_s3a_options():
     assert s3a_options() == {}
     assert s3a_options("k", "s", "e") == {

@@ -1,9 +1,11 @@
 import json
 from datetime import date
 
+import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from sparkprep import workspace
 from sparkprep.plans import training
 from sparkprep.sources import store, watermark
 from sparkprep.sources.tables import complaints
@@ -68,6 +70,55 @@ def test_repeat_of_a_range_adds_nothing(spark, tmp_path):
     assert store.read_table(spark, run.store).count() == stored == 200
 
 
+def test_late_unkeyed_and_early_records_are_not_lost(spark, tmp_path):
+    """A record that lands after its date's range was loaded is stored; others have their own tables."""
+    line = '{{"_source": {{"complaint_id": {}, "date_received": "{}"}}}}\n'
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "a.json").write_text(line.format('"1"', "2023-06-20") + line.format("null", "2023-06-20"))
+    first = config(tmp_path, "r1", to_date=date(2023, 7, 1))
+    done = training.ingest(spark, first)
+    assert spark.read.parquet(done.unkeyed).count() == 1
+    (folder / "b.json").write_text(
+        line.format('"2"', "2023-06-15") + line.format('"3"', "2023-04-15") + line.format('"4"', "2023-09-01")
+    )
+    second = config(tmp_path, "r2", to_date=date(2023, 8, 1))
+    done = training.ingest(spark, second)
+    keys = lambda df: sorted(r["complaint_id"] for r in df.collect())
+    assert keys(store.read_table(spark, second.store)) == ["1", "2", "4"]
+    assert keys(training.read_store(spark, second, date(2023, 8, 1))) == ["1", "2"]
+    assert keys(spark.read.parquet(done.early)) == ["3"]
+    assert spark.read.parquet(done.unkeyed).count() == 0
+
+
+def test_only_new_files_are_parsed(spark, tmp_path, monkeypatch):
+    seen = []
+    unwrap = training.landing.unwrap
+    monkeypatch.setattr(
+        training.landing, "unwrap", lambda df: seen.append({r["_file"] for r in df.collect()}) or unwrap(df)
+    )
+    for run_id, day, low in (("r1", date(2023, 6, 1), 0), ("r2", date(2023, 7, 1), 100)):
+        run = config(tmp_path, run_id, to_date=day)
+        land(spark, run.landing, low, low + 100)
+        training.ingest(spark, run)
+    assert len(seen) == 2 and seen[0] and seen[1] and not seen[0] & seen[1]
+    assert store.read_table(spark, run.store).count() > 0
+
+
+def test_a_run_leaves_nothing_settled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_folder", lambda _: str(tmp_path / "shared"))
+    run = config(tmp_path, "r1", to_date=date(2023, 7, 15))
+    land(spark, run.landing, 0, 300)
+    training.run(spark, run)
+    left = [p for p in (tmp_path / "shared").glob("*/*")]
+    assert left == []
+    failing = config(tmp_path, "r2", to_date=date(2023, 7, 20), missing_threshold=-1.0)
+    land(spark, failing.landing, 300, 320)
+    with pytest.raises(Exception):
+        training.run(spark, failing)
+    assert [p for p in (tmp_path / "shared").glob("*/*")] == []
+
+
 def test_corrupt_landing_goes_to_quarantine(spark, tmp_path):
     run = config(tmp_path, "r1", to_date=date(2023, 7, 15))
     land(spark, run.landing, 0, 50)

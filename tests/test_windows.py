@@ -59,6 +59,14 @@ def test_counts_include_empty_windows(spark):
     ]
 
 
+def test_rows_without_a_time_are_in_no_window(spark):
+    days = [date(2023, 1, d) for d in range(1, 5)] + [None] * 3
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    assert [r["n"] for r in w.window_counts(df, "d").collect()] == [4]
+    long = spark.createDataFrame([(date(2023, m, 1),) for m in range(1, 5)] + [(None,)], "d date")
+    assert [r["n"] for r in w.window_counts(long, "d").collect()] == [1, 1, 1, 1]
+
+
 def test_counts_of_nothing(spark):
     assert w.window_counts(spark.createDataFrame([], "d date"), "d").count() == 0
 
