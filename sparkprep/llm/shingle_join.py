@@ -10,9 +10,10 @@ are summed, for each set or for each pair of sets.
 3. For the rest, fragments of all hashes give the n-grams that are shared at all, and nodes that share
    fewer than the similarity needs are left out.
 4. The remaining sets are ordered by how rare an n-gram is. Each n-gram of a set's prefix links the set
-   to the first node of that n-gram; the partial overlaps of these pairs are summed over fragments. This
-   joins a group of m near copies by about m pairs rather than m * m.
-5. Pairs across the components found, if they share an n-gram of both prefixes, are counted likewise.
+   to one node of that n-gram, the one with the fewest n-grams of its own; the partial overlaps of these
+   pairs are summed over fragments. This joins a group of m near copies by about m pairs, not m * m.
+5. Pairs across the components found are counted likewise, if they share an n-gram of both prefixes and
+   their n-grams that others have too could be enough.
 
 No pair of similar sets is missed: it shares an n-gram of both prefixes, so it is either inside one
 component after step 4 or counted in step 5. Nodes and n-grams are 64-bit hashes.
@@ -91,10 +92,12 @@ def node_table(docs: DataFrame, text: str, k: int, chunk_bytes: int) -> DataFram
 
 
 def _chunk_postings(
-    sets: list[np.ndarray], fragments: int
+    sets: list[np.ndarray], fragments: int, share: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct n-grams of a chunk, each with its owner (or none if several), the fragment
-    borders, and the n-grams that several sets have with the sets that have them."""
+    borders, and the n-grams that several sets have with the sets that have them.
+
+    ``share`` is how much of the order, from its beginning, the sets' n-grams mostly lie in."""
     hashes = np.concatenate([*sets, np.zeros(0, np.uint64)])
     owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(hashes, kind="stable")
@@ -102,7 +105,7 @@ def _chunk_postings(
     first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))) if len(hashes) else np.zeros(0, np.int64)
     counts = np.diff(np.append(first, len(hashes)))
     shared = np.repeat(counts > 1, counts)
-    width = -(-(1 << 64) // fragments)
+    width = -(-int((1 << 64) * share) // fragments)
     borders = np.array([min(f * width, (1 << 64) - 1) for f in range(1, fragments)], np.uint64)
     cuts = np.searchsorted(hashes[first], borders)
     single = np.where(counts > 1, -1, owners[first])
@@ -129,7 +132,7 @@ def _scatter(k: int, percent: int, fragments: int, chunk_bytes: int, prefix_only
                     size = prefix_size(len(s), percent, slack(len(s))) if prefix_only else len(s)
                     sets.append(s[:size])
             names = np.array(nodes, np.int64).view(np.uint64)
-            hashes, single, cuts, shared, owners = _chunk_postings(sets, fragments)
+            hashes, single, cuts, shared, owners = _chunk_postings(sets, fragments, 0.4 if prefix_only else 1.0)
             named = np.append(names, MANY)[single]
             rows = []
             for f, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
@@ -185,11 +188,7 @@ def _credits(rows: pd.DataFrame) -> pd.DataFrame:
 def _segments(rows: pd.DataFrame) -> pd.DataFrame:
     hashes, owners = _fragment_shared(rows)
     order = np.argsort(owners, kind="stable")
-    hashes, owners = hashes[order].view(np.int64), owners[order]
-    nodes, first = np.unique(owners, return_index=True)
-    return pd.DataFrame(
-        {"node": nodes.view(np.int64), "hashes": np.split(hashes, first[1:]) if len(nodes) else []}
-    )
+    return pd.DataFrame({"node": owners[order].view(np.int64), "hash": hashes[order].view(np.int64)})
 
 
 def _fragments(size_bytes: int, fragment_bytes: int) -> int:
@@ -200,8 +199,8 @@ def _required_column(n: str, percent: int) -> Column:
     return F.ceil(F.col(n) * percent / F.lit(100)).cast("int")
 
 
-def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Overlap of each pair ``a``, ``b``: partial counts of the fragments, summed.
+def partial_overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """What the sets of each pair ``a``, ``b`` share in each fragment in which both have a segment.
 
     Many pairs may have the same ``a``. Its segments are repeated for every ``HOT_ROWS`` of them.
     """
@@ -210,22 +209,40 @@ def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     laned = hot_join(pairs, counts, ["a"], "rows").select(
         "a", "b", F.pmod(F.xxhash64("b"), "lanes").cast("int").alias("lane")
     )
+
+    def side(name: str) -> list[Column]:
+        return [F.col(c).alias(f"{c}_{name}") for c in ("hashes", "n", "shared")]
+
     left = segments.join(counts.select(F.col("a").alias("node"), "lanes"), "node").select(
-        F.col("node").alias("a"), "fragment", F.col("hashes").alias("hashes_a"), F.col("n").alias("n_a"),
+        F.col("node").alias("a"), "fragment", *side("a"),
         F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"),
     )
-    right = segments.select(
-        F.col("node").alias("b"), "fragment", F.col("hashes").alias("hashes_b"), F.col("n").alias("n_b")
-    )
+    right = segments.select(F.col("node").alias("b"), "fragment", *side("b"))
     both = laned.join(right, "b").join(left, ["a", "lane", "fragment"])
-    partial = F.size(F.array_intersect("hashes_a", "hashes_b")).cast("long")
-    return both.groupBy("a", "b", "n_a", "n_b").agg(F.sum(partial).alias("overlap"))
+    return both.select(
+        "a", "b", "n_a", "n_b",
+        F.size(F.array_intersect("hashes_a", "hashes_b")).cast("long").alias("overlap"),
+        F.least(
+            F.col("shared_a") - F.size("hashes_a"), F.col("shared_b") - F.size("hashes_b")
+        ).alias("beyond"),
+    )
 
 
 def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    found = overlaps(pairs, segments)
-    union = F.col("n_a") + F.col("n_b") - F.col("overlap")
-    return found.where(100 * F.col("overlap") >= percent * union)
+    """The pairs that are similar: overlaps of the rare n-grams first, then those of other fragments.
+
+    The rare fragment settles most pairs: what they share there, and all that is left of the smaller
+    set, is too little.
+    """
+    needed = lambda overlap: (100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))
+    head = partial_overlaps(pairs, segments.where("fragment = 0"))
+    head = settle(head.where(needed(F.col("overlap") + F.col("beyond"))), "pair-heads")
+    rest = partial_overlaps(head.select("a", "b"), segments.where("fragment > 0"))
+    parts = head.select("a", "b", "n_a", "n_b", "overlap").unionByName(
+        rest.select("a", "b", "n_a", "n_b", "overlap")
+    )
+    summed = parts.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
+    return summed.where(needed(F.col("overlap")))
 
 
 def similar_groups(
@@ -235,8 +252,8 @@ def similar_groups(
     k: int = 5,
     percent: int = 75,
     fragment_bytes: int = 8 << 20,
-    chunk_bytes: int = 4 << 20,
-    overlap_fragments: int = 8,
+    chunk_bytes: int = 1 << 20,
+    overlap_fragments: int = 4,
 ) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``; and
     ``text_hash``, and ``stays``, true for the first row of each component (by id, then text hash).
@@ -277,10 +294,8 @@ def similar_groups(
     second = texts.mapInArrow(
         _scatter(k, percent, _fragments(remaining, fragment_bytes), chunk_bytes, False), _SCATTERED
     )
-    shared = second.groupBy("fragment").applyInPandas(_segments, "node bigint, hashes array<bigint>")
-    shared = shared.groupBy("node").agg(
-        F.array_distinct(F.flatten(F.collect_list("hashes"))).alias("hashes")
-    )
+    shared = second.groupBy("fragment").applyInPandas(_segments, "node bigint, hash bigint")
+    shared = shared.groupBy("node").agg(F.collect_set("hash").alias("hashes"))
     finalists = shared.join(left.select("node", "n"), "node").where(
         F.size("hashes") >= smaller
     )
@@ -296,13 +311,17 @@ def similar_groups(
     ranked = settle(ranked.where(F.size("ordered") >= smaller), "shingle-ranked")
     alone = F.col("n") - F.size("ordered")  # n-grams nobody else has come first in the order
     length = F.greatest(F.col("n") - smaller + 1 - alone, F.lit(0))
+    # against larger sets a shorter prefix will do: the overlap must be larger too
+    short = F.col("n") - F.ceil(F.col("n") * 2 * percent / F.lit(100 + percent)) + 1
     prefix = ranked.select(
-        "node", "n", F.explode(F.slice("ordered", 1, length)).alias("gram")
-    ).select("node", "n", F.col("gram.hash").alias("hash"))
+        "node", "n", alone.alias("alone"), F.posexplode(F.slice("ordered", 1, length)).alias("place", "gram")
+    ).select("node", "n", "alone", F.col("gram.hash").alias("hash"), F.col("place") + F.col("alone") + 1 > short)
+    prefix = prefix.toDF("node", "n", "alone", "hash", "late")
     prefix = settle(prefix, "shingle-prefix")
 
     place = lambda x: x["df"].cast("double") + x["hash"].cast("double") / F.lit(2.0**64)
-    steps = [i / overlap_fragments for i in range(1, overlap_fragments)]
+    # the rare half is one fragment, the rest are even
+    steps = [0.5 + 0.5 * i / overlap_fragments for i in range(overlap_fragments)]
     grams = ranked.select(F.explode("ordered").alias("gram"))
     cuts = grams.agg(F.percentile_approx(place(F.col("gram")), steps, 1000)).first()[0] or []
     borders = [-math.inf, *cuts, math.inf]
@@ -313,14 +332,29 @@ def similar_groups(
         return F.struct(F.lit(f).alias("fragment"), F.transform(held, lambda x: x["hash"]).alias("hashes"))
 
     segments = ranked.select(
-        "node", "n", F.explode(F.array(*map(inside, range(len(borders) - 1)))).alias("s")
-    ).select("node", "n", "s.fragment", "s.hashes").where(F.size("hashes") > 0)
+        "node", "n", F.size("ordered").alias("shared"),
+        F.explode(F.array(*map(inside, range(len(borders) - 1)))).alias("s"),
+    ).select("node", "n", "shared", "s.fragment", "s.hashes")
+    # every set has its rare fragment, even an empty one
+    segments = segments.where((F.size("hashes") > 0) | (F.col("fragment") == 0))
     segments = settle(segments, "shingle-segments")
 
-    leads = prefix.groupBy("hash").agg(F.min("node").alias("a"), F.count("*").alias("rows"))
+    # The text that copies were made from has the fewest n-grams of its own, and is near to all of them.
+    lead = F.min(F.struct("alone", "node", "n"))
+    leads = prefix.groupBy("hash").agg(lead.alias("lead"), F.count("*").alias("rows"))
+    leads = leads.select(
+        "hash", "rows", F.col("lead.node").alias("a"), F.col("lead.n").alias("n_a"), F.col("lead.alone").alias("alone_a")
+    )
+
+    def possible(a: str, b: str) -> Column:
+        """Whether the n-grams that others have too are enough for the overlap that two sizes need."""
+        most = F.least(F.col(f"n_{a}") - F.col(f"alone_{a}"), F.col(f"n_{b}") - F.col(f"alone_{b}"))
+        return (100 + percent) * most >= percent * (F.col(f"n_{a}") + F.col(f"n_{b}"))
+
     leads = settle(leads.where("rows > 1"), "shingle-leads")
-    stars = hot_join(prefix.select("hash", F.col("node").alias("b")), leads, ["hash"], "rows")
-    stars = settle(stars.where("a <> b").select("a", "b").distinct(), "shingle-stars")
+    members = prefix.select("hash", *(F.col(c).alias(x) for c, x in (("node", "b"), ("n", "n_b"), ("alone", "alone_b"))))
+    stars = hot_join(members, leads, ["hash"], "rows").where(F.col("a") != F.col("b"))
+    stars = settle(stars.where(possible("a", "b")).select("a", "b").distinct(), "shingle-stars")
     links = settle(_links(stars, segments, percent).select("a", "b"), "shingle-links")
 
     roots = settle(components(links), "shingle-roots")
@@ -331,11 +365,13 @@ def similar_groups(
     )
     across = settle(across.where("low < high").select("hash", "rows"), "shingle-across")
     open_ = settle(hot_join(rooted, across, ["hash"], "rows"), "shingle-open")
-    one = open_.select("hash", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "root")))
-    two = open_.select("hash", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "root")))
-    near = (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
-    pairs = one.join(two, "hash").where((F.col("root_a") < F.col("root_b")) & near)
-    pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    names = ("node", "n", "root", "alone")
+    one = open_.select("hash", *(F.col(c).alias(f"{c}_a") for c in names))
+    two = open_.where(~F.col("late")).select("hash", *(F.col(c).alias(f"{c}_b") for c in names))
+    # b is the smaller set of the two
+    below = (F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("node_b") < F.col("node_a")))
+    pairs = one.join(two, "hash").where((F.col("root_a") != F.col("root_b")) & below & possible("a", "b"))
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     more = _links(settle(pairs.distinct(), "shingle-pairs"), segments, percent).select("a", "b")
     all_links = links.unionByName(more)
     roots = settle(components(all_links), "shingle-roots")
