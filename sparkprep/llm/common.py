@@ -64,10 +64,6 @@ def dropping(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in taken))
 
 
-def field(name: str, kind: pa.DataType) -> pa.Field:
-    return pa.field(name, kind)
-
-
 def pieces(
     batches: Iterable[pa.RecordBatch], column: str, most_bytes: int
 ) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,6 @@ automaton. A document is scanned once, and matches are mapped back to its words
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 

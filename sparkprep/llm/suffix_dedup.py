@@ -447,8 +447,7 @@ def remove_repeats(
     )
     cut = settle(cut, "suffix-contexts")
     ordered = cut.where("kind = 2").repartition("gram").sortWithinPartitions("gram", "node", "start")
-    sorted_spans = ordered.dropDuplicates(["gram", "node", "start"]) if False else ordered
-    sorted_spans = sorted_spans.mapInArrow(_sort_contexts(length, 1 << 19), _SPANS)
+    sorted_spans = ordered.mapInArrow(_sort_contexts(length, 1 << 19), _SPANS)
 
     strings = cut.where("kind = 3").mapInArrow(_string_hashes(length), "hash bigint, node bigint, start bigint")
     strings = settle(strings.distinct(), "suffix-strings")
