@@ -12,8 +12,8 @@ are summed, for each set or for each pair of sets.
 4. The remaining sets are ordered by how rare an n-gram is. Each n-gram of a set's prefix links the set
    to one node of that n-gram, the one with the fewest n-grams of its own; the partial overlaps of these
    pairs are summed over fragments. This joins a group of m near copies by about m pairs, not m * m.
-5. Pairs across the components found are counted likewise, if they share an n-gram of both prefixes and
-   their n-grams that others have too could be enough.
+5. Pairs across the components found are counted likewise, if they share an n-gram of both prefixes from
+   which on both sets have enough n-grams that others have too.
 
 No pair of similar sets is missed: it shares an n-gram of both prefixes, so it is either inside one
 component after step 4 or counted in step 5. Nodes and n-grams are 64-bit hashes.
@@ -179,10 +179,33 @@ def _fragment_shared(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def _credits(rows: pd.DataFrame) -> pd.DataFrame:
-    _, owners = _fragment_shared(rows)
-    nodes, credit = np.unique(owners, return_counts=True)
-    return pd.DataFrame({"node": nodes.view(np.int64), "credit": credit.astype(np.int64)})
+def _credits(parts: int):
+    """How many shared n-grams of a fragment each node has, in one row for each part of the nodes."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        _, owners = _fragment_shared(rows)
+        nodes, credit = np.unique(owners, return_counts=True)
+        home = nodes % np.uint64(parts)
+        order = np.argsort(home, kind="stable")
+        cuts = np.searchsorted(home[order], np.arange(parts + 1)).tolist()
+        out = [(h, order[a:b]) for h, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        return pd.DataFrame(
+            {
+                "home": np.array([h for h, _ in out], np.int32),
+                "nodes": [nodes[p].tobytes() for _, p in out],
+                "credits": [credit[p].astype("<i8").tobytes() for _, p in out],
+            }
+        )
+
+    return run
+
+
+def _summed(rows: pd.DataFrame) -> pd.DataFrame:
+    """The credits of a part's nodes, summed over fragments."""
+    nodes, at = np.unique(np.frombuffer(b"".join(rows["nodes"]), "<i8"), return_inverse=True)
+    total = np.zeros(len(nodes), np.int64)
+    np.add.at(total, at, np.frombuffer(b"".join(rows["credits"]), "<i8"))
+    return pd.DataFrame({"node": nodes, "credit": total})
 
 
 def _segments(rows: pd.DataFrame) -> pd.DataFrame:
@@ -276,11 +299,14 @@ def similar_groups(
     postings = int(sizes[0] or 0) * 16
 
     given = docs.where(F.col("text").isNotNull())
+    fragments = _fragments(postings * 35 // 100, fragment_bytes)
     first = given.select("text").mapInArrow(
-        _scatter(k, percent, _fragments(postings * 35 // 100, fragment_bytes), chunk_bytes, True), _SCATTERED
+        _scatter(k, percent, fragments, chunk_bytes, True), _SCATTERED
     )
-    credits = first.groupBy("fragment").applyInPandas(_credits, "node bigint, credit bigint")
-    credits = credits.groupBy("node").agg(F.sum("credit").alias("credit"))
+    credits = first.groupBy("fragment").applyInPandas(
+        _credits(fragments), "home int, nodes binary, credits binary"
+    )
+    credits = credits.groupBy("home").applyInPandas(_summed, "node bigint, credit bigint")
     smaller = _required_column("n", percent)
     enough = F.col("credit") >= F.floor(smaller / F.lit(10)) + 1
     # A class that others' copies also count for is only kept too readily, never lost.
@@ -315,8 +341,11 @@ def similar_groups(
     short = F.col("n") - F.ceil(F.col("n") * 2 * percent / F.lit(100 + percent)) + 1
     prefix = ranked.select(
         "node", "n", alone.alias("alone"), F.posexplode(F.slice("ordered", 1, length)).alias("place", "gram")
-    ).select("node", "n", "alone", F.col("gram.hash").alias("hash"), F.col("place") + F.col("alone") + 1 > short)
-    prefix = prefix.toDF("node", "n", "alone", "hash", "late")
+    ).select(
+        "node", "n", "alone", F.col("gram.hash").alias("hash"),
+        (F.col("place") + F.col("alone") + 1 > short).alias("late"),
+        (F.col("n") - F.col("alone") - F.col("place")).alias("most"),
+    )
     prefix = settle(prefix, "shingle-prefix")
 
     place = lambda x: x["df"].cast("double") + x["hash"].cast("double") / F.lit(2.0**64)
@@ -340,19 +369,22 @@ def similar_groups(
     segments = settle(segments, "shingle-segments")
 
     # The text that copies were made from has the fewest n-grams of its own, and is near to all of them.
-    lead = F.min(F.struct("alone", "node", "n"))
+    lead = F.min(F.struct("alone", "node", "n", "most"))
     leads = prefix.groupBy("hash").agg(lead.alias("lead"), F.count("*").alias("rows"))
     leads = leads.select(
-        "hash", "rows", F.col("lead.node").alias("a"), F.col("lead.n").alias("n_a"), F.col("lead.alone").alias("alone_a")
+        "hash", "rows", F.col("lead.node").alias("a"), F.col("lead.n").alias("n_a"), F.col("lead.most").alias("most_a")
     )
 
     def possible(a: str, b: str) -> Column:
-        """Whether the n-grams that others have too are enough for the overlap that two sizes need."""
-        most = F.least(F.col(f"n_{a}") - F.col(f"alone_{a}"), F.col(f"n_{b}") - F.col(f"alone_{b}"))
+        """Whether what both sets have from this n-gram on is enough for the overlap their sizes need.
+
+        That must hold at the first n-gram that similar sets share, so no such pair is lost.
+        """
+        most = F.least(f"most_{a}", f"most_{b}")
         return (100 + percent) * most >= percent * (F.col(f"n_{a}") + F.col(f"n_{b}"))
 
     leads = settle(leads.where("rows > 1"), "shingle-leads")
-    members = prefix.select("hash", *(F.col(c).alias(x) for c, x in (("node", "b"), ("n", "n_b"), ("alone", "alone_b"))))
+    members = prefix.select("hash", *(F.col(c).alias(x) for c, x in (("node", "b"), ("n", "n_b"), ("most", "most_b"))))
     stars = hot_join(members, leads, ["hash"], "rows").where(F.col("a") != F.col("b"))
     stars = settle(stars.where(possible("a", "b")).select("a", "b").distinct(), "shingle-stars")
     links = settle(_links(stars, segments, percent).select("a", "b"), "shingle-links")
@@ -365,7 +397,7 @@ def similar_groups(
     )
     across = settle(across.where("low < high").select("hash", "rows"), "shingle-across")
     open_ = settle(hot_join(rooted, across, ["hash"], "rows"), "shingle-open")
-    names = ("node", "n", "root", "alone")
+    names = ("node", "n", "root", "most")
     one = open_.select("hash", *(F.col(c).alias(f"{c}_a") for c in names))
     two = open_.where(~F.col("late")).select("hash", *(F.col(c).alias(f"{c}_b") for c in names))
     # b is the smaller set of the two
