@@ -20,6 +20,8 @@ from sparkprep.workspace import new_path
 
 ADDED = ("bucket", "position", "shard", "slot")
 ROW_BYTES = 16
+MOST_SENT = 1_000_000
+"""Buckets whose first places are broadcast, 12 bytes each; with more, the join shuffles."""
 
 
 def row_bytes(text: str = "text"):
@@ -76,7 +78,7 @@ def shuffle_into_buckets(
         F.pmod(F.xxhash64(F.lit(seed), "_order", F.spark_partition_id()), F.lit(buckets)).cast("int"),
     )
     # A fixed order inside the bucket first: rows arrive in any order, and a task may be run again.
-    bucketed = scattered.repartition(buckets, "bucket").sortWithinPartitions("bucket", "_order")
+    bucketed = scattered.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "_order")
     bucketed = bucketed.drop("_order")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bucketed.schema)
     bucketed.mapInArrow(_shuffle_bucket(seed), f"{schema}, position bigint").write.parquet(path)
@@ -97,6 +99,8 @@ def read_shards(spark: SparkSession, path: str, n_shards: int) -> DataFrame:
         firsts.append((c["bucket"], place))
         place += c["count"]
     first = spark.createDataFrame(firsts, "bucket int, _first bigint")
+    if len(firsts) <= MOST_SENT:
+        first = F.broadcast(first)
     total = max(total, 1)
     placed = rows.join(first, "bucket").withColumn("_place", F.col("_first") + F.col("position"))
     # the last shard whose first place is at or before this one
