@@ -3,7 +3,8 @@
 A line goes down a tree of fixed depth: by its number of tokens, then by its leading tokens, where a
 token with a digit is a wildcard. In a leaf, positions on which the lines do not agree are variable
 fields. Lines that agree everywhere else share the leaf's template; any other line is a template of its
-own. A template that recurs across documents is dropped.
+own. Lines with too few tokens for fields are templates as they are, with their numbers. A template that
+recurs across documents is dropped.
 
 Copies of a document share all their lines, and dropping those would empty the copies. So a template
 must recur across documents that are otherwise their own: at least half of their characters are in
@@ -28,20 +29,24 @@ def _masked(line: Column) -> Column:
     return F.trim(F.when(line.rlike("[0-9]"), hidden).otherwise(line))
 
 
-def _lines(docs: DataFrame, text: str, depth: int) -> DataFrame:
-    """Lines with their place, their leaf and a hash of the line with wildcards."""
+def _lines(docs: DataFrame, text: str, depth: int, least_tokens: int) -> DataFrame:
+    """Lines that are not blank, with their place, their leaf and a hash of the line with wildcards.
+
+    A line of fewer than ``least_tokens`` tokens has no wildcards, and a leaf of its own.
+    """
     split = docs.select(
         "_doc", F.xxhash64(F.col(text)).alias("_text"), F.split(F.col(text), "\n").alias("_lines")
     )
     lines = split.select("_doc", "_text", F.posexplode("_lines").alias("place", "line"))
-    lines = lines.withColumn("masked", _masked(F.col("line")))
+    lines = lines.where(F.col("line").rlike(r"\S")).withColumn("masked", _masked(F.col("line")))
     lines = lines.withColumn("tokens", F.split("masked", " "))
+    short = F.size("tokens") < least_tokens
     leaf = F.xxhash64(F.size("tokens"), *(F.get("tokens", F.lit(k)) for k in range(depth)))
+    line_hash = F.xxhash64(F.when(short, F.trim("line")).otherwise(F.col("masked")))
     return lines.select(
         "_doc", "_text", "place",
-        F.size("tokens").alias("n_tokens"),
-        leaf.alias("leaf"),
-        F.xxhash64("masked").alias("line_hash"),
+        F.when(short, line_hash).otherwise(leaf).alias("leaf"),
+        line_hash.alias("line_hash"),
         F.length("line").alias("chars"),
     )
 
@@ -118,13 +123,12 @@ def drop_recurring_lines(
     """``docs`` with ``n_lines``, ``dropped`` (places of dropped lines, from 0) and ``kept_text``.
 
     A template is dropped if ``least_docs`` documents hold it that are mostly their own. Lines of fewer
-    than ``least_tokens`` tokens are left alone. A NULL text has no lines and stays NULL; a text whose
+    than ``least_tokens`` tokens must recur as they are; blank lines are left alone. A NULL text has no lines and stays NULL; a text whose
     lines all go is empty. Rows with equal ``key`` and text are treated alike, whatever the key.
     """
     docs = dropping(docs, *ADDED)
     held = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_doc"), F.col(text))
-    lines = _lines(held, text, depth).where(F.col("n_tokens") >= least_tokens)
-    keys = settle(lines.drop("n_tokens"), "line-keys")
+    keys = settle(_lines(held, text, depth, least_tokens), "line-keys")
     templates = line_templates(held, keys, text, depth, least_docs, agreement)
     templates = settle(templates, "line-templates")
     placed = settle(hot_join(keys, templates, ["leaf", "line_hash"], "rows"), "line-places")

@@ -72,3 +72,12 @@ def test_no_python_on_the_main_path(spark, table, prose):
     df = drop_recurring_lines(table([(i, prose(60, i) + "\n" + LICENCE) for i in range(5)]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_short_lines_recur_too(table, prose):
+    """One to three tokens: the same line goes; blank lines and lines that differ in a number stay."""
+    short = ["Imprint", "About us", "All rights reserved."]
+    rows = [(i, "\n".join([*short, "", " ", f"Part {i}", prose(60, i)])) for i in range(5)]
+    found = dropped(table(rows))
+    assert all(f[0] == [0, 1, 2] for f in found.values())
+    assert all(not f[0] for f in dropped(table(rows[:2])).values())
