@@ -1,9 +1,9 @@
 """Byte-level BPE with a queue of merge ranks over a hierarchical bitmap.
 
 A pre-token is a linked list of parts, at first its bytes. Every pair of neighbours that has a merge
-waits in the bucket of its rank. A bitmap has a bit for each bucket that holds something, a bitmap above
-it a bit for each of its words that is not zero, and so on; so the least waiting rank is found by the
-first set bit of one word a level. The bucket's pairs are merged from left to right. A merge changes the
+waits in the bucket of its rank. A bitmap has a bit for each bucket that holds something, and a bitmap above
+it a bit for each of its words that is not zero; so the least waiting rank is found by the first set
+bit of one word a level. The bucket's pairs are merged from left to right. A merge changes the
 pairs on both sides, whose old entries stay where they are and are skipped as stale when met. Each merge
 costs a bounded number of steps, however long the pre-token, in place of a search through all pairs.
 """
@@ -14,6 +14,7 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
+from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -25,60 +26,13 @@ from pyspark.sql import functions as F
 from sparkprep.llm.bpe import Recent, vocabulary_path
 from sparkprep.llm.common import documents, pieces
 
-WORD_BITS = 6
-"""A word of the bitmap has ``2 ** WORD_BITS`` bits."""
+LONG = 4096
+"""A pre-token of more bytes keeps its lists in arrays, which take less memory than lists."""
 
-REMEMBERED, LONGEST_REMEMBERED = 100_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 48
 """Encodings of so many pre-tokens of so many characters at most are kept by a task, twice over."""
 
 
-class RankQueue:
-    """Positions in buckets by rank; the least rank that has any is found by first set bits."""
-
-    def __init__(self, ranks: int):
-        self.buckets: dict[int, array] = {}
-        self.levels: list[list[int]] = []
-        size = max(1, ranks)
-        while True:
-            size = -(-size >> WORD_BITS) if size > 1 else 1
-            self.levels.append([0] * size)
-            if size == 1:
-                break
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            return
-        self.buckets[rank] = array("q", (position,))
-        for level in self.levels:
-            bit, rank = 1 << (rank & (1 << WORD_BITS) - 1), rank >> WORD_BITS
-            held = level[rank]
-            level[rank] = held | bit
-            if held:
-                break
-
-    def least(self) -> int:
-        """The least rank with positions, -1 if there is none."""
-        rank = 0
-        for level in reversed(self.levels):
-            word = level[rank]
-            if not word:
-                return -1
-            rank = rank << WORD_BITS | (word & -word).bit_length() - 1
-        return rank
-
-    def take(self, rank: int) -> list[int]:
-        """Empty a bucket; its positions from left to right."""
-        bucket = self.buckets.pop(rank)
-        for level in self.levels:
-            bit, rank = 1 << (rank & (1 << WORD_BITS) - 1), rank >> WORD_BITS
-            level[rank] &= ~bit
-            if level[rank]:
-                break
-        return sorted(bucket)
-
-
 class ByteBpe:
     """Encoder and decoder for a file of byte strings with their ranks, as ``tiktoken`` reads.
 
@@ -92,56 +46,92 @@ class ByteBpe:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.pattern = regex.compile(pattern)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.queue = RankQueue(max(self.tokens) + 1)
+        # Python's integers make bitmap words of any width, so two levels do
+        self.shift = max(1, max(self.tokens).bit_length() // 2)
+        self.words = [0] * ((max(self.tokens) >> self.shift) + 1)
+        self.bits = [1 << k for k in range(max(len(self.words), 1 << self.shift))]
         self.known = Recent(REMEMBERED)
 
     def encode_bytes(self, data: bytes) -> tuple[int, ...]:
-        """Ids of one pre-token."""
-        ranks, queue = self.ranks, self.queue
+        """Ids of one pre-token.
+
+        The queue's steps are written out in the loop: calls would double the time of short pre-tokens.
+        """
+        ranks = self.ranks
         whole = ranks.get(data)
         if whole is not None:
             return (whole,)
         n, rank_of = len(data), ranks.get
-        ends = array("q", range(1, n + 1))  # of the part that begins here
-        before = array("q", range(-1, n - 1))  # where the part before it begins
-        waiting = array("q", bytes(8 * n))  # rank of merging it with the next part, -1 for none
-        for k in range(n):
-            rank = rank_of(data[k : k + 2], -1) if k + 1 < n else -1
-            waiting[k] = rank
-            if rank >= 0:
-                queue.push(rank, k)
-        while (least := queue.least()) >= 0:
-            positions = queue.take(least)
+        hold = list if n <= LONG else partial(array, "q")
+        ends = hold(range(1, n + 1))  # of the part that begins here
+        before = hold(range(-1, n - 1))  # where the part before it begins
+        waiting = hold([rank_of(data[k : k + 2], -1) for k in range(n)])  # rank of merging with the next
+        waiting[n - 1] = -1
+
+        shift, words, bits = self.shift, self.words, self.bits  # all words are zero before and after
+        mask, top = (1 << shift) - 1, 0
+        buckets: dict[int, list[int]] = {}
+        for k, rank in enumerate(waiting):
+            if rank in buckets:
+                buckets[rank].append(k)
+            elif rank >= 0:
+                buckets[rank] = hold((k,))
+                words[rank >> shift] |= bits[rank & mask]
+                top |= bits[rank >> shift]
+        while top:
+            word = (top & -top).bit_length() - 1
+            held = words[word]
+            first = held & -held
+            least = (word << shift) + first.bit_length() - 1
+            words[word] = held = held ^ first
+            if not held:
+                top &= top - 1
+            positions = buckets.pop(least)
+            if len(positions) > 1:
+                positions = sorted(positions)  # from left to right
+            lower = False
             for place, left in enumerate(positions):
                 if waiting[left] != least:
                     continue  # stale: merged away, or its neighbour was
                 right = ends[left]
                 end = ends[right]
-                ends[left], waiting[right] = end, -1
-                lower = False
-                rank = -1
+                ends[left] = end
+                waiting[left] = waiting[right] = -1
+                previous = before[left]
                 if end < n:
                     before[end] = left
                     rank = rank_of(data[left : ends[end]], -1)
                     if rank >= 0:
-                        queue.push(rank, left)
+                        waiting[left] = rank
                         lower = rank < least
-                waiting[left] = rank
-                previous = before[left]
+                        if rank in buckets:
+                            buckets[rank].append(left)
+                        else:
+                            buckets[rank] = hold((left,))
+                            words[rank >> shift] |= bits[rank & mask]
+                            top |= bits[rank >> shift]
                 if previous >= 0:
-                    rank = rank_of(data[previous:end], -1)
-                    waiting[previous] = rank
+                    waiting[previous] = rank = rank_of(data[previous:end], -1)
                     if rank >= 0:
-                        queue.push(rank, previous)
                         lower = lower or rank < least
-                if lower:  # a lower rank has come up: that goes first
-                    for position in positions[place + 1 :]:
-                        queue.push(least, position)
+                        if rank in buckets:
+                            buckets[rank].append(previous)
+                        else:
+                            buckets[rank] = hold((previous,))
+                            words[rank >> shift] |= bits[rank & mask]
+                            top |= bits[rank >> shift]
+                if lower:  # that goes first, and the rest of this bucket waits again
+                    rest = positions[place + 1 :]
+                    if rest:
+                        buckets[least] = hold(rest)
+                        words[least >> shift] |= bits[least & mask]
+                        top |= bits[least >> shift]
                     break
         ids, at = [], 0
         while at < n:
-            ids.append(ranks[data[at : ends[at]]])
-            at = ends[at]
+            end = ends[at]
+            ids.append(ranks[data[at:end]])
+            at = end
         return tuple(ids)
 
     def _piece(self, piece: str) -> tuple[int, ...]:

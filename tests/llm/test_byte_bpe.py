@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cases import ODD
-from sparkprep.llm.byte_bpe import ByteBpe, RankQueue, byte_encode_documents, op11_byte_bpe, public_pattern
+from sparkprep.llm.byte_bpe import ByteBpe, byte_encode_documents, op11_byte_bpe, public_pattern
 
 PATHS = [public_tokenizers.path(f"byte_bpe_{name}.tiktoken") for name in ("50k", "multi_50k")]
 CODERS = {path: ByteBpe(path, public_pattern()) for path in PATHS}
@@ -90,28 +90,13 @@ def test_ranks_in_any_order(tmp_path):
                 assert list(coder.encode_bytes(data)) == plain_merges(coder.ranks, data)
 
 
-def test_queue():
-    rng = random.Random(6)
-    queue, held = RankQueue(300_000), {}
-    for k in range(3000):
-        rank = rng.randrange(300_000) if k % 3 else rng.randrange(5)
-        queue.push(rank, k)
-        held.setdefault(rank, []).append(k)
-        if rng.random() < 0.4:
-            least = min(held)
-            assert queue.least() == least and queue.take(least) == held.pop(least)
-    while held:
-        least = min(held)
-        assert queue.least() == least and queue.take(least) == held.pop(least)
-    assert queue.least() == -1 and RankQueue(1).least() == -1
-
-
 @pytest.mark.parametrize("unit", ["a", "the", "xqz"])
 def test_long_pre_token(unit):
     begun = time.time()
     text = unit * (600_000 // len(unit))
     coder = CODERS[PATHS[0]]
     ids = coder.encode(text)
+    assert not any(coder.words)
     assert coder.decode(ids) == text.encode()
     assert time.time() - begun < 30
 
