@@ -46,16 +46,25 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete what is settled inside when the block ends, also after a failure."""
+def noted() -> Iterator[list[str]]:
+    """The paths of what is settled inside, for deleting it later."""
     held: list[str] = []
     _open_scopes.append(held)
     try:
-        yield
+        yield held
     finally:
         _open_scopes.remove(held)
-        for path in held:
-            discard(spark, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is settled inside when the block ends, also after a failure."""
+    with noted() as held:
+        try:
+            yield
+        finally:
+            for path in held:
+                discard(spark, path)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
