@@ -4,14 +4,13 @@ A document's sketch keeps, for each of a fixed number of hashed coordinates, the
 times that any of its terms there occurs. A term's impact grows with its occurrences, so the sketch
 gives the greatest impact of a coordinate, whatever the corpus statistics are, and the weighted impacts
 of a query's coordinates add up to an upper bound of the document's score. The index holds the
-sketches of all documents next to their texts and is written once.
-
-A block of queries is answered in three passes over it. The first looks up the bounds of all documents,
-from the sketches alone, and finds for each query the bound that just ``k`` documents reach. The second
-scores the documents that reach it exactly, which gives a score that the k-th best has at least. The
-third scores all others whose bound reaches that score. In a task, documents are scored by descending
-bound until the bound falls below what the query needs. So no document is left out that could be among
-the best, and few texts are read term by term. Tasks hand on their best ``k`` only.
+sketches of all documents and is written once.
+
+A block of queries is answered by descending bounds. The first pass over the sketches finds the ``k``
+documents of the greatest bounds for each query. These are scored exactly, which gives a score that the
+k-th best has at least. The second pass finds all documents whose bound reaches that score, and only
+these are scored, so no document is left out that could be among the best. Texts are read again for
+the documents found, and tasks hand on their best ``k`` only.
 """
 
 from __future__ import annotations
@@ -46,6 +45,9 @@ _TERM_BYTES = bytes(
 BLOCK_ITEMS, BLOCK_TERMS = 512, 50_000
 """Queries, and distinct terms of queries, that a pass answers at once; a single query may have more."""
 
+SMALL_ROWS, SMALL_PAIRS = 200_000, 2_000_000
+"""Documents, and queries of them all together, that are broadcast: some 20 MB."""
+
 GROUP_ROWS = 100_000
 """Rows of one query that are sorted in one group; more are first cut down in several."""
 
@@ -63,7 +65,7 @@ def length_factors(lengths: list[int], n_docs: int, n_terms: int) -> list[int]:
 
 
 def build_index(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``(doc_id, text, n, coordinates, peaks)`` of every row: its text, terms and sketch.
+    """``(doc_id, n, coordinates, peaks)`` of every row: its number of terms and its sketch.
 
     ``coordinates`` are those with a term, ascending (16-bit), ``peaks`` the greatest number of
     occurrences in each (32-bit). NULL and empty texts have none.
@@ -85,7 +87,6 @@ def build_index(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
-                    "text": batch.column("text"),
                     "n": pa.array(lengths, pa.int64()),
                     "coordinates": pa.array(places, pa.binary()),
                     "peaks": pa.array(peaks, pa.binary()),
@@ -93,9 +94,7 @@ def build_index(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             )
 
     given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return given.mapInArrow(
-        sketch, "doc_id bigint, text binary, n bigint, coordinates binary, peaks binary"
-    )
+    return given.mapInArrow(sketch, "doc_id bigint, n bigint, coordinates binary, peaks binary")
 
 
 @dataclass
@@ -134,10 +133,9 @@ def query_blocks(items: DataFrame, item: str, most_items: int, most_terms: int)
         yield block
 
 
-def document_frequencies(index: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
+def document_frequencies(docs: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
     """How many documents hold each of the wanted terms; counted in the tasks, then summed by term."""
-    context = index.sparkSession.sparkContext
-    shared = context.broadcast(frozenset(wanted))
+    shared = docs.sparkSession.sparkContext.broadcast(frozenset(wanted))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -148,7 +146,7 @@ def document_frequencies(index: DataFrame, wanted: set[bytes]) -> dict[bytes, in
             {"term": pa.array(list(counts), pa.binary()), "df": pa.array(counts.values(), pa.int64())}
         )
 
-    tallied = index.select("text").mapInArrow(tally, "term binary, df bigint")
+    tallied = docs.select(F.col("text").cast("binary")).mapInArrow(tally, "term binary, df bigint")
     rows = tallied.groupBy("term").agg(F.sum("df").alias("df")).collect()  # as many as query terms
     return {bytes(r["term"]): r["df"] for r in rows}
 
@@ -233,73 +231,103 @@ class _Best:
             self.least[query] = max(self.least[query], hits[-1][0])
 
 
-def _reached(index: DataFrame, queries: Queries, k: int) -> dict[int, int]:
-    """Of each query the bound that ``k`` documents reach; 1 if fewer have any."""
+def _leading(index: DataFrame, queries: Queries, k: int) -> DataFrame:
+    """``(query, doc_id)`` of the ``k`` documents with the greatest bounds of each query."""
     shared = index.sparkSession.sparkContext.broadcast(queries)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        top = np.zeros((len(shared.value), k), np.int64)
+        n = len(shared.value)
+        top, ids, named = np.zeros((n, k), np.int64), np.zeros((n, k), np.int64), np.zeros((n, k), bool)
         for whole in batches:
             for batch in scorer.slices(whole):
                 bounds = scorer.bounds(batch, scorer.factors(batch))
-                both = np.concatenate([top, bounds], axis=1)
-                top = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+                doc_id = batch.column("doc_id")
+                held = [
+                    (top, bounds),
+                    (ids, np.broadcast_to(doc_id.fill_null(0).to_numpy(), bounds.shape)),
+                    (named, np.broadcast_to(doc_id.is_valid().to_numpy(zero_copy_only=False), bounds.shape)),
+                ]
+                both = [np.concatenate(pair, axis=1) for pair in held]
+                kept = np.argpartition(both[0], both[0].shape[1] - k, axis=1)[:, -k:]
+                top, ids, named = (np.take_along_axis(x, kept, axis=1) for x in both)
         query, _ = np.nonzero(top)
+        has = top > 0
         yield pa.RecordBatch.from_pydict(
-            {"query": pa.array(query, pa.int32()), "bound": pa.array(top[top > 0], pa.int64())}
+            {
+                "query": pa.array(query, pa.int32()),
+                "doc_id": pa.array(ids[has], pa.int64(), mask=~named[has]),
+                "bound": pa.array(top[has], pa.int64()),
+            }
         )
 
-    found = index.select("n", "coordinates", "peaks").mapInArrow(best, "query int, bound bigint")
+    found = index.mapInArrow(best, "query int, doc_id bigint, bound bigint")
     ranked = best_rows(settle(found, "bounds"), "query", [F.desc("bound")], k, "place")
-    reached = ranked.where(F.col("place") == k).collect()  # one row for each query of the block
-    return {r["query"]: r["bound"] for r in reached}
+    return ranked.select("query", "doc_id")
 
 
-def _rescored(
-    index: DataFrame, queries: Queries, least: list[int], below: list[int] | None, k: int
-) -> DataFrame:
-    """``(number, query, doc_id, score)`` of documents with a bound of ``least`` up to ``below``.
+def _reaching(index: DataFrame, queries: Queries, least: list[int]) -> DataFrame:
+    """``(query, doc_id)`` of all documents whose bound is the query's ``least`` or more."""
+    shared = index.sparkSession.sparkContext.broadcast((queries, np.array(least, np.int64)))
 
-    Each task gives its best ``k`` of a query at most, and only scores above 0.
-    """
-    shared = index.sparkSession.sparkContext.broadcast((queries, least, below))
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, least = shared.value
+        scorer = Scorer(queries)
+        for whole in batches:
+            for batch in scorer.slices(whole):
+                bounds = scorer.bounds(batch, scorer.factors(batch))
+                query, place = np.nonzero(bounds >= least[:, None])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "query": pa.array(query, pa.int32()),
+                        "doc_id": batch.column("doc_id").take(pa.array(place)),
+                    }
+                )
 
-    def rescore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, least, below = shared.value
+    return index.mapInArrow(reach, "query int, doc_id bigint")
+
+
+def _scored(docs: DataFrame, pairs: DataFrame, queries: Queries, k: int) -> DataFrame:
+    """``(number, query, doc_id, score)`` of pairs of queries and documents; only scores above 0.
+
+    Every row of a document's id is scored. Each task gives its best ``k`` of a query at most. The pairs are
+    gathered by document; so many as ``SMALL_ROWS`` allows are broadcast, more meet the texts in a
+    shuffle, where each id has one row on the pairs' side.
+    """
+    by_document = pairs.distinct().groupBy("doc_id").agg(F.collect_list("query").alias("queries"))
+    by_document = settle(by_document.withColumnRenamed("doc_id", "_doc_id"), "wanted")
+    size = by_document.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("queries")).alias("pairs")).first()
+    if size["n"] <= SMALL_ROWS and (size["pairs"] or 0) <= SMALL_PAIRS:
+        by_document = F.broadcast(by_document)
+    shared = docs.sparkSession.sparkContext.broadcast(queries)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = shared.value
         scorer, best = Scorer(queries), _Best(len(queries), k)
-        for whole in pieces(batches, "text", 4 << 20):
-            for batch in scorer.slices(whole):
-                factors = scorer.factors(batch)
-                bounds = scorer.bounds(batch, factors)
-                ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-                counted: dict[int, Counter] = {}
-                for query, row in enumerate(bounds):
-                    needed = max(least[query], best.least[query])
-                    fits = row >= needed
-                    if below:
-                        fits &= row < below[query]
-                    wanted = np.flatnonzero(fits)
-                    for place in wanted[np.argsort(-row[wanted], kind="stable")].tolist():
-                        if row[place] < best.least[query]:
-                            break
-                        if place not in counted:
-                            counted[place] = Counter(terms(texts[place].as_py() or b""))
-                        score = scorer.score(query, counted[place], int(factors[place]))
-                        if score > 0:
-                            best.add(query, score, ids[place])
+        for batch in pieces(batches, "text", 4 << 20):
+            ids, asked = batch.column("doc_id").to_pylist(), batch.column("queries").to_pylist()
+            for doc_id, text, wanted in zip(ids, batch.column("text").to_pylist(), asked):
+                found = terms(text or b"")
+                if not found:
+                    continue
+                counts = Counter(found)
+                (factor,) = length_factors([len(found)], queries.n_docs, queries.n_terms)
+                for query in wanted:
+                    total = scorer.score(query, counts, factor)
+                    if total >= best.least[query]:
+                        best.add(query, total, doc_id)
         rows = []
         for query, number in enumerate(queries.numbers):
             best.cut(query)
-            rows += [(number, query, doc_id, score) for score, doc_id in best.hits[query]]
+            rows += [(number, query, doc_id, total) for total, doc_id in best.hits[query]]
         kinds = {"number": pa.int64(), "query": pa.int32(), "doc_id": pa.int64(), "score": pa.int64()}
         yield pa.RecordBatch.from_pydict(
             {c: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(kinds.items())}
         )
 
-    return index.select("doc_id", "text", "n", "coordinates", "peaks").mapInArrow(
-        rescore, "number bigint, query int, doc_id bigint, score bigint"
-    )
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    met = texts.join(by_document, F.col("doc_id").eqNullSafe(F.col("_doc_id"))).drop("_doc_id")
+    return met.mapInArrow(score, "number bigint, query int, doc_id bigint, score bigint")
 
 
 def best_rows(df: DataFrame, by: str, order: list, k: int, name: str) -> DataFrame:
@@ -321,6 +349,7 @@ def best_rows(df: DataFrame, by: str, order: list, k: int, name: str) -> DataFra
 
 
 def search(
+    docs: DataFrame,
     index: DataFrame,
     items: DataFrame,
     k: int = 50,
@@ -331,11 +360,11 @@ def search(
 ) -> DataFrame:
     """``(item, rank, doc_id, score)``: the best ``k`` documents of each query with a score above 0.
 
-    ``index`` is a table written from :func:`build_index` with the same ``width``; ``items`` has the queries in ``text``. Equal
-    scores go by ascending ``doc_id``, NULL last. Each row of either table stands for itself, so
-    repeated rows are documents, or queries, of their own. NULL, empty and termless texts are never
-    found and, as queries, find nothing; an empty table gives no rows. Other columns are not read.
-    Queries are answered in blocks of bounded size, each over the whole index.
+    ``index`` is a table written from :func:`build_index` of ``docs`` with the same ``width``; ``items``
+    has the queries in ``text``. Equal scores go by ascending ``doc_id``, NULL last. Each row of either
+    table stands for itself, so repeated rows are documents, or queries, of their own. NULL, empty and
+    termless texts are never found and, as queries, find nothing; an empty table gives no rows. Other
+    columns are not read. Queries are answered in blocks of bounded size, each over the whole index.
     """
     spark = index.sparkSession
     stated = index.where("n > 0").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("l")).first()
@@ -343,23 +372,21 @@ def search(
     result = new_path(spark, "found")
     empty = f"{item} {kind}, rank int, doc_id bigint, score bigint"
     spark.createDataFrame([], empty).write.parquet(result)
+    order = [F.desc("score"), F.asc_nulls_last("doc_id")]
     for block in query_blocks(items, item, most_items, most_terms):
         if not stated["n"]:
             break
         block.width, block.n_docs, block.n_terms = width, stated["n"], stated["l"]
-        frequencies = document_frequencies(index, {t for found in block.found for t in found})
+        frequencies = document_frequencies(docs, {t for found in block.found for t in found})
         block.weights = {t: weight(df, block.n_docs) for t, df in frequencies.items()}
         with scratch(spark):
-            reached = _reached(index, block, k)
-            first = [max(1, reached.get(q, 1)) for q in range(len(block))]
-            order = [F.desc("score"), F.asc_nulls_last("doc_id")]
-            near = settle(_rescored(index, block, first, None, k), "near")
-            places = best_rows(near, "query", order, k, "place").where(F.col("place") == k).collect()
-            scored = {r["query"]: r["score"] for r in places}
+            near = settle(_scored(docs, _leading(index, block, k), block, k), "near")
+            places = best_rows(near, "query", order, k, "place").where(F.col("place") == k)
+            scored = {r["query"]: r["score"] for r in places.collect()}  # one row a query at most
             least = [max(1, scored.get(q, 1)) for q in range(len(block))]
-            rest = settle(_rescored(index, block, least, first, k), "rest")
-            both = settle(near.unionAll(rest).drop("query"), "both")
-            ranked = best_rows(both, "number", order, k, "rank")
+            pairs = settle(_reaching(index, block, least), "reaching")
+            hits = settle(_scored(docs, pairs, block, k), "scored")
+            ranked = best_rows(hits.drop("query"), "number", order, k, "rank")
             names = spark.createDataFrame(
                 list(zip(block.numbers, block.ids)), f"number bigint, {item} {kind}"
             )  # one row for each query of the block
@@ -370,8 +397,9 @@ def search(
 
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents for each benchmark item."""
-    index = settle(build_index(documents(spark, sf_dir)), "sketches")
-    return search(index, documents(spark, sf_dir, "benchmark"))
+    docs = documents(spark, sf_dir)
+    index = settle(build_index(docs), "sketches")
+    return search(docs, index, documents(spark, sf_dir, "benchmark"))
 
 
 RANKED_SEARCH_SQL = r"""

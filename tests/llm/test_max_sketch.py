@@ -45,7 +45,7 @@ def brute_force(docs, items, k):
 def ask(spark, docs, items, k=5, width=max_sketch.WIDTH, **bounds):
     index = settle(build_index(docs, width), "index")
     asked = spark.createDataFrame(items, "item_id bigint, text string")
-    return sorted((tuple(r) for r in search(index, asked, k, width=width, **bounds).collect()), key=str)
+    return sorted((tuple(r) for r in search(docs, index, asked, k, width=width, **bounds).collect()), key=str)
 
 
 def corpus(rng, size):
@@ -86,7 +86,7 @@ def test_large_groups_are_cut_in_parts(spark, monkeypatch):
 def test_bounds_hold_and_are_near(spark, table):
     """No score is above its bound, and most are equal to it."""
     docs, items = corpus(random.Random(3), 100)
-    batch = pa.RecordBatch.from_pandas(build_index(table(docs)).toPandas(), preserve_index=False)
+    batch = build_index(table(docs)).toArrow().combine_chunks().to_batches()[0]
     queries = Queries(list(range(len(items))), [i for i, _ in items])
     queries.found = [sorted({w.encode() for w in words(t)}) for _, t in items]
     queries.n_docs, queries.n_terms = len(docs), sum(len(words(t)) for _, t in docs)
@@ -96,7 +96,7 @@ def test_bounds_hold_and_are_near(spark, table):
     bounds = scorer.bounds(batch, factors)
     from collections import Counter
 
-    texts = [Counter(w.encode() for w in words(bytes(t).decode())) for t in batch.column("text").to_pylist()]
+    texts = [Counter(w.encode() for w in words(t)) for _, t in docs]
     exact = np.array(
         [[scorer.score(q, c, int(f)) for c, f in zip(texts, factors)] for q in range(len(queries))]
     )
