@@ -3,9 +3,12 @@
 A pre-token is a linked list of parts, at first its bytes. Every pair of neighbours that has a merge
 waits in the bucket of its rank. A bitmap has a bit for each bucket that holds something, and a bitmap above
 it a bit for each of its words that is not zero; so the least waiting rank is found by the first set
-bit of one word a level. The bucket's pairs are merged from left to right. A merge changes the
-pairs on both sides, whose old entries stay where they are and are skipped as stale when met. Each merge
-costs a bounded number of steps, however long the pre-token, in place of a search through all pairs.
+bit of one word a level. The bucket's pairs are merged from left to right. A merge changes the pairs on
+both sides, whose old entries stay where they are and are skipped as stale when met. Each merge costs a
+bounded number of steps, however long the pre-token, in place of a search through all pairs.
+
+Merges in one pre-token do not touch another, so the pre-tokens of a batch of texts that are not known
+yet share one queue: their lists lie end to end in the same arrays.
 """
 
 from __future__ import annotations
@@ -14,7 +17,6 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterator
-from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -23,15 +25,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm.bpe import Recent, vocabulary_path
+from sparkprep.llm.bpe import vocabulary_path
 from sparkprep.llm.common import documents, pieces
 
-LONG = 4096
-"""A pre-token of more bytes keeps its lists in arrays, which take less memory than lists."""
-
 REMEMBERED, LONGEST_REMEMBERED = 200_000, 48
 """Encodings of so many pre-tokens of so many characters at most are kept by a task, twice over."""
 
+TEXT_BYTES = 1 << 20
+"""Bytes of text, or a single text, that are encoded together."""
+
 
 class ByteBpe:
     """Encoder and decoder for a file of byte strings with their ranks, as ``tiktoken`` reads.
@@ -50,32 +52,38 @@ class ByteBpe:
         self.shift = max(1, max(self.tokens).bit_length() // 2)
         self.words = [0] * ((max(self.tokens) >> self.shift) + 1)
         self.bits = [1 << k for k in range(max(len(self.words), 1 << self.shift))]
-        self.known = Recent(REMEMBERED)
+        self.remembered = REMEMBERED
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
-    def encode_bytes(self, data: bytes) -> tuple[int, ...]:
-        """Ids of one pre-token.
+    def encode_all(self, given: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of pre-tokens, each by itself; no two bytes of different ones merge.
 
-        The queue's steps are written out in the loop: calls would double the time of short pre-tokens.
+        The queue's steps are written out in the loop: calls would double the time.
         """
-        ranks = self.ranks
-        whole = ranks.get(data)
-        if whole is not None:
-            return (whole,)
-        n, rank_of = len(data), ranks.get
-        hold = list if n <= LONG else partial(array, "q")
-        ends = hold(range(1, n + 1))  # of the part that begins here
-        before = hold(range(-1, n - 1))  # where the part before it begins
-        waiting = hold([rank_of(data[k : k + 2], -1) for k in range(n)])  # rank of merging with the next
-        waiting[n - 1] = -1
+        rank_of = self.ranks.get
+        data = b"".join(given)
+        n = len(data)
+        ends = array("q", range(1, n + 1))  # of the part that begins here
+        before = array("q", range(-1, n - 1))  # where the part before it begins
+        begins = bytearray(n + 1)  # whether a pre-token does
+        begins[n] = 1
+        # rank of merging with the next part
+        waiting = array("q", [rank_of(data[k : k + 2], -1) for k in range(n)])
+        at = 0
+        for piece in given:
+            begins[at], before[at] = 1, -1
+            at += len(piece)
+            waiting[at - 1] = -1
 
         shift, words, bits = self.shift, self.words, self.bits  # all words are zero before and after
         mask, top = (1 << shift) - 1, 0
-        buckets: dict[int, list[int]] = {}
+        buckets: dict[int, array] = {}
         for k, rank in enumerate(waiting):
             if rank in buckets:
                 buckets[rank].append(k)
             elif rank >= 0:
-                buckets[rank] = hold((k,))
+                buckets[rank] = array("q", (k,))
                 words[rank >> shift] |= bits[rank & mask]
                 top |= bits[rank >> shift]
         while top:
@@ -89,7 +97,6 @@ class ByteBpe:
             positions = buckets.pop(least)
             if len(positions) > 1:
                 positions = sorted(positions)  # from left to right
-            lower = False
             for place, left in enumerate(positions):
                 if waiting[left] != least:
                     continue  # stale: merged away, or its neighbour was
@@ -97,8 +104,8 @@ class ByteBpe:
                 end = ends[right]
                 ends[left] = end
                 waiting[left] = waiting[right] = -1
-                previous = before[left]
-                if end < n:
+                lower = False
+                if not begins[end]:
                     before[end] = left
                     rank = rank_of(data[left : ends[end]], -1)
                     if rank >= 0:
@@ -107,9 +114,10 @@ class ByteBpe:
                         if rank in buckets:
                             buckets[rank].append(left)
                         else:
-                            buckets[rank] = hold((left,))
+                            buckets[rank] = array("q", (left,))
                             words[rank >> shift] |= bits[rank & mask]
                             top |= bits[rank >> shift]
+                previous = before[left]
                 if previous >= 0:
                     waiting[previous] = rank = rank_of(data[previous:end], -1)
                     if rank >= 0:
@@ -117,34 +125,65 @@ class ByteBpe:
                         if rank in buckets:
                             buckets[rank].append(previous)
                         else:
-                            buckets[rank] = hold((previous,))
+                            buckets[rank] = array("q", (previous,))
                             words[rank >> shift] |= bits[rank & mask]
                             top |= bits[rank >> shift]
                 if lower:  # that goes first, and the rest of this bucket waits again
                     rest = positions[place + 1 :]
                     if rest:
-                        buckets[least] = hold(rest)
+                        buckets[least] = array("q", rest)
                         words[least >> shift] |= bits[least & mask]
                         top |= bits[least >> shift]
                     break
-        ids, at = [], 0
+        found, ids, at = [], [], 0
         while at < n:
             end = ends[at]
-            ids.append(ranks[data[at:end]])
+            ids.append(rank_of(data[at:end]))
             at = end
-        return tuple(ids)
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        return self.encode_bytes(piece.encode())
-
-    def _ids(self, piece: str) -> tuple[int, ...]:
-        if len(piece) > LONGEST_REMEMBERED:
-            return self._piece(piece)
-        return self.known.get(piece, self._piece)
+            if begins[at]:
+                found.append(tuple(ids))
+                ids = []
+        return found
+
+    def _learn(self, wanted: set[str]) -> None:
+        """Put the ids of all these pre-tokens into ``known``."""
+        known, older, ranks = self.known, self.older, self.ranks
+        new, spelled = [], []
+        for piece in wanted:
+            if piece in known:
+                continue
+            ids = older.get(piece)
+            if ids is None:
+                data = piece.encode()
+                whole = ranks.get(data)
+                if whole is None:
+                    new.append(piece)
+                    spelled.append(data)
+                    continue
+                ids = (whole,)
+            known[piece] = ids
+        if new:
+            known.update(zip(new, self.encode_all(spelled)))
+
+    def _forget(self, wanted: set[str]) -> None:
+        """Keep what is remembered within its bounds."""
+        for piece in wanted:
+            if len(piece) > LONGEST_REMEMBERED:
+                self.known.pop(piece, None)
+        if len(self.known) >= self.remembered:
+            self.known, self.older = {}, self.known
+
+    def encode_texts(self, texts: list[str]) -> list[list[int]]:
+        split = [self.pattern.findall(text) for text in texts]
+        wanted = set(chain.from_iterable(split))
+        self._learn(wanted)
+        ids = self.known.__getitem__
+        found = [list(chain.from_iterable(map(ids, given))) for given in split]
+        self._forget(wanted)
+        return found
 
     def encode(self, text: str) -> list[int]:
-        get, ids = self.known.new.get, self._ids
-        return list(chain.from_iterable([get(p) or ids(p) for p in self.pattern.findall(text)]))
+        return self.encode_texts([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -177,11 +216,9 @@ def _coded(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...], made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path, pattern)
-        for batch in pieces(batches, "_text", 4 << 20):
-            rows = []
-            for text in batch.column("_text").to_pylist():
-                ids = bpe.encode(text)
-                rows.append(describe(ids, bpe.decode(ids)))
+        for batch in pieces(batches, "_text", TEXT_BYTES):
+            found = bpe.encode_texts(batch.column("_text").to_pylist())
+            rows = [describe(ids, bpe.decode(ids)) for ids in found]
             columns = {c: batch.column(c) for c in keep}
             for k, field in enumerate(arrow):
                 columns[field.name] = pa.array([r[k] for r in rows], field.type)
@@ -199,7 +236,7 @@ def byte_encode_documents(
     ``path`` is the rank file's place on the executors. NULL and empty texts have no ids and decode to
     no bytes. Every row has a result of its own, repeated ones too, and columns not in ``keep`` are not
     read; those in it must not be named ``ids`` or ``decoded``. A pre-token of any length takes time in
-    proportion to it, and memory of some 50 bytes a byte.
+    proportion to it, and memory of some 100 bytes a byte.
     """
     return _coded(docs, path, pattern, keep, "ids array<int>, decoded binary", lambda ids, data: (ids, data))
 

@@ -84,10 +84,22 @@ def test_ranks_in_any_order(tmp_path):
         numbered = [*letters, *rest]
         path.write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % k for k, t in enumerate(numbered)))
         coder = ByteBpe(str(path), public_pattern())
-        for _ in range(30):
-            data = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 60)))
-            if data not in coder.ranks:
-                assert list(coder.encode_bytes(data)) == plain_merges(coder.ranks, data)
+        given = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 60))) for _ in range(30)]
+        expected = [tuple(plain_merges(coder.ranks, data)) for data in given]
+        assert coder.encode_all(given) == expected
+        assert [coder.encode_all([data])[0] for data in given] == expected
+
+
+def test_words_are_forgotten():
+    """What is remembered stays bounded, and no id depends on it."""
+    rng = random.Random(8)
+    coder, library = ByteBpe(PATHS[0], public_pattern()), LIBRARY[PATHS[0]]
+    coder.remembered = 50
+    for _ in range(200):
+        texts = [" ".join(f"w{rng.randint(0, 90)}x" for _ in range(20)) + " " + "z" * 60 for _ in range(3)]
+        assert coder.encode_texts(texts) == [library.encode_ordinary(t) for t in texts]
+        assert len(coder.known) < 50 and len(coder.older) < 200
+        assert not any(len(p) > 48 for p in [*coder.known, *coder.older])
 
 
 @pytest.mark.parametrize("unit", ["a", "the", "xqz"])
