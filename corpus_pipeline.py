@@ -6,6 +6,9 @@ works on all rows that the one before has kept, and all but the last return the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +18,40 @@ from sparkprep.llm.decontaminate import find_contamination
 from sparkprep.llm.line_templates import drop_recurring_lines
 from sparkprep.llm.quality import judge
 from sparkprep.llm.shingle_join import similar_groups
-from sparkprep.workspace import settle
+from sparkprep.workspace import discard, noted, settle
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+_left: list[str] = []
+"""Intermediate tables of the stage before."""
+
+
+def stage(function: Stage) -> Stage:
+    """A stage that first deletes the intermediate tables of the one before.
+
+    What a stage returns is lazy and reads them, so they can go only when it has been written; it has
+    been when the next stage begins, which is given the written table.
+    """
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _left:
+            discard(spark, _left.pop())
+        with noted() as held:
+            found = function(spark, docs, sf_dir)
+        _left.extend(held)
+        return found
+
+    return run_stage
 
 
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return judge(docs).where("kept").select(*docs.columns)
 
 
+@stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines of recurring templates; ``n_chars`` follows the text."""
     found = drop_recurring_lines(docs)
@@ -34,6 +63,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of similar ones."""
     ship(spark)
@@ -46,6 +76,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.dropDuplicates(["_doc_id", "_hash"]).select(*docs.columns)
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     ship(spark)
@@ -53,6 +84,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return found.where("n_hit = 0").select(*docs.columns)
 
 
+@stage
 def tokenisation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document."""
     ship(spark)
@@ -75,6 +107,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder; what each returns is written and read again."""
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    last = None
+    for name, work in STAGES:
+        with noted() as made:  # the stage notes its own tables, so this is what it was written to
+            docs = settle(work(spark, docs, sf_dir), f"pipeline-{name}")
+        if last:
+            discard(spark, last)
+        (last,) = made
     return docs
