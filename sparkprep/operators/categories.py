@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -202,15 +204,88 @@ def attach(
     return found.select(*kept, *values.values()).unionAll(apart)
 
 
+def _attach_large(
+    df: DataFrame,
+    tables: DataFrame,
+    value: str,
+    outputs: dict[str, str],
+    sizes: dict[str, Row],
+    how: str,
+    max_rows: int,
+    max_bytes: int,
+) -> DataFrame:
+    """Look several columns up whose tables are too large to broadcast, with one write for all of them.
+
+    The hot categories of all the columns share the bounds and are broadcast together. Rows that these
+    answer, or that have no category, in every column stay where they are. Each of the others goes
+    through one shuffle join a column; where a column of it is answered already, its part of the join key
+    is a salt, so those rows are spread.
+    """
+    marked, parts = df, {}
+    for i, name in enumerate(outputs):
+        part = tables.where(F.col("column") == name)
+        if how == "inner":
+            part = part.where(F.col("category").isNotNull())
+        room = min(max_rows, max_bytes // max(1, sizes[name]["longest"])) // len(outputs)
+        is_hot = (F.col("n") > sizes[name]["total"] / max(1, room)) | F.col("category").isNull()
+        parts[i] = part.where(~is_hot).select(
+            F.col("category").alias(f"_category_{i}"), F.col(value).alias(f"_cold_{i}"), F.lit(0).alias(f"_zero_{i}")
+        )
+        hot = part.where(is_hot).select(
+            F.col("category").alias("_hot_category"), F.lit(True).alias(f"_is_hot_{i}"), F.col(value).alias(f"_hot_{i}")
+        )
+        marked = marked.withColumn(f"_text_{i}", category_text(df, name))
+        same = F.col(f"_text_{i}").eqNullSafe(F.col("_hot_category"))
+        marked = marked.join(F.broadcast(hot), same, "left").drop("_hot_category")
+    marked = settle(marked, "marked")
+
+    texts = [F.col(f"_text_{i}") for i in parts]
+    hit = {i: F.coalesce(F.col(f"_is_hot_{i}"), F.lit(False)) for i in parts}
+    answered = {i: texts[i].isNull() | hit[i] for i in parts}
+    apart = reduce(and_, answered.values())
+    stays, rest = marked.where(apart), marked.where(~apart)
+    salt = F.pmod(F.xxhash64(*texts), F.lit(1 << 20)).cast("int") + 1
+    values = {}
+    for i, cold in parts.items():
+        key, spread = F.when(~answered[i], texts[i]), F.when(answered[i], salt).otherwise(0)
+        rest = rest.join(cold, (key == F.col(f"_category_{i}")) & (spread == F.col(f"_zero_{i}")), "left")
+        if how == "inner":
+            stays, rest = stays.where(hit[i]), rest.where(hit[i] | F.col(f"_category_{i}").isNotNull())
+        values[i] = F.when(answered[i], F.col(f"_hot_{i}")).otherwise(F.col(f"_cold_{i}"))
+    kept = [column(c) for c in df.columns]
+    found = rest.select(*kept, *(v.alias(out) for v, out in zip(values.values(), outputs.values())))
+    hots = (F.col(f"_hot_{i}").alias(out) for i, out in enumerate(outputs.values()))
+    return found.unionAll(stays.select(*kept, *hots))
+
+
 def _attach_each(
-    df: DataFrame, tables: DataFrame, value: str, outputs: dict[str, str], **options
+    df: DataFrame,
+    tables: DataFrame,
+    value: str,
+    outputs: dict[str, str],
+    *,
+    how: str = "left",
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Look each column up in its own part of a table with a row per column and category."""
-    sizes = {row["column"]: row for row in _size(tables, "column")}
+    """Look each column up in its own part of a table with a row per column and category.
+
+    Tables within the bounds are broadcast; the others go through :func:`_attach_large` together.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
+    sizes, names = {row["column"]: row for row in _size(tables, "column")}, df.columns
+    large = {}
     for name, out in outputs.items():
+        size = sizes.get(name)
+        if size and (size["rows"] > max_rows or size["bytes"] > max_bytes):
+            large[name] = out
+            continue
         part = tables.where(F.col("column") == name).drop("column")
-        df = attach(df, name, part, {value: out}, size=sizes.get(name), **options)
-    return df
+        df = attach(df, name, part, {value: out}, how=how, size=size, max_rows=max_rows, max_bytes=max_bytes)
+    if large:
+        df = _attach_large(df, tables, value, large, sizes, how, max_rows, max_bytes)
+    return df.select(*(column(c) for c in (*names, *outputs.values())))
 
 
 def encode_frequency(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.functions import column
+from sparkprep.workspace import discard
 
 # A span of more than so many days is cut into units of this length.
 GRANULARITIES = ((365, "year"), (30, "month"), (7, "week"))
@@ -86,6 +87,36 @@ def window_counts(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
+WINDOW = "window_from"
+
+
+def write_windows(df: DataFrame, ts: str, path: str, first: date, unit: str) -> None:
+    """Write the records of each window to a part of its own, in place of what was there before.
+
+    Only windows that ``df`` has records of are replaced, so a window can be extracted again, and a
+    load that is repeated adds nothing. Records without a time are in no window. Large windows are split
+    between tasks and small ones share one.
+    """
+    dated = df.where(column(ts).isNotNull())
+    (
+        dated.withColumn(WINDOW, window_start(column(ts), first, unit))
+        .hint("rebalance", WINDOW)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(WINDOW)
+        .parquet(path)
+    )
+
+
+def rewrite_window(df: DataFrame, ts: str, path: str, window: tuple[date, date], first: date, unit: str) -> None:
+    """Extract one window ``(from_date, to_date)`` again; a window without records is emptied."""
+    records = time_slice(df, ts, *window)
+    if records.isEmpty():
+        discard(df.sparkSession, f"{path}/{WINDOW}={window[0].isoformat()}")
+    else:
+        write_windows(records, ts, path, first, unit)
+
+
 def fixed_span(spark: SparkSession, first: date, last: date) -> DataFrame:
     return spark.createDataFrame([(first, last)], "from_date date, to_date date")
 

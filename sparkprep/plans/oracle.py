@@ -331,6 +331,34 @@ ORACLE: dict[str, str] = {
     "stream_store_rows": """select event_id, case when event_id % 10 = 3 then 'undated' else 'store' end place
         from events where event_type <> 'error'""",
     "inc_window_counts_events": window_counts("events", "ts"),
+    "src_store_keys": on_complaints("select complaint_id from complaints"),
+    "inc_window_extract": """with bounds as (
+        select cast(min(o_orderdate) as date) f, cast(max(o_orderdate) as date) + 1 t from orders),
+        unit as (select f, case when t - f > 365 then 'year' when t - f > 30 then 'month'
+            when t - f > 7 then 'week' else 'single' end u from bounds)
+        select o_orderkey, strftime(greatest(f, case u when 'year' then date_trunc('year', o_orderdate)
+            when 'month' then date_trunc('month', o_orderdate)
+            when 'week' then date_trunc('week', o_orderdate) else f end), '%Y-%m-%d') window_from
+        from orders, unit""",
+    "inc_merged_counts": on_complaints(category_counts("complaints")),
+    "inc_merged_modes": most_frequent(ONE_HOT),
+    "inc_merged_moments": """with numbers as (
+        select cast(l_extendedprice as double) price, cast(l_quantity as double) + 1e9 far,
+            case when l_orderkey % 5 = 0 then cast(l_linenumber as double) end sparse from lineitem)
+        """
+    + per_column(
+        """select '{c}' "column", count({c}) n, round(avg({c}), 4) mean,
+        round(stddev_samp({c}), 4) deviation from numbers""",
+        ("price", "far", "sparse"),
+    ),
+    "inc_merged_distinct": on_complaints(
+        per_column(
+            """select '{c}' "column",
+            count(distinct {c}) + max(case when {c} is null then 1 else 0 end) n_unique,
+            count(*) - count({c}) missing_row, true as "within" from complaints""",
+            [c for c in VIEW_COLUMNS if c != "complaint_id"],
+        )
+    ),
     "inc_slice": """select o_orderkey, o_orderdate from orders
         where o_orderdate >= timestamp '1997-01-01' and o_orderdate < timestamp '1998-01-01'""",
     "val_row_cap": on_complaints(
@@ -391,6 +419,7 @@ ORACLE: dict[str, str] = {
     ),
     "feat_freq_fit": on_complaints(category_counts("complaints")),
     "feat_freq_encode": frequency_encoded("left"),
+    "feat_freq_encode_large": frequency_encoded("left"),
     "feat_freq_encode_inner": frequency_encoded("inner"),
     "feat_string_index": on_complaints(
         f"""select complaint_id, {", ".join(f"index_{c}.position si_{c}" for c in ONE_HOT)}

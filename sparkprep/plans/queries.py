@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.functions import as_timestamp, column, day_difference, stored_entries, tokens
-from sparkprep.operators import categories, evaluate, numeric, profile, sampling, stages, text, validate
+from sparkprep.operators import categories, evaluate, numeric, profile, running, sampling, stages, text
+from sparkprep.operators import validate
 from sparkprep.operators import windows
 from sparkprep.plans import training
 from sparkprep.plans.features import apply_features, feature_table, fit_features
 from sparkprep.schema import COMPLAINTS
 from sparkprep.sources import landing, store, watermark
-from sparkprep.sources.tables import complaints, documents, table
+from sparkprep.sources.key_index import KeyIndex
+from sparkprep.sources.tables import VIEW_COLUMNS, complaints, documents, table
 from sparkprep.streaming import load_new_files, stream_landing, stream_to_store
 from sparkprep.workspace import new_path, settle
 
@@ -148,6 +150,17 @@ def src_feature_store(spark, sf_dir):
     return stored.select(KEY, "company_response", F.col(store.MONTH).cast("string").alias(store.MONTH))
 
 
+@query
+def src_store_keys(spark, sf_dir):
+    """The clustered index of a store's keys after two loads that overlap, the second done twice."""
+    path = new_path(spark, "store")
+    records = complaints(spark, sf_dir, KEY, "date_received", "company_response")
+    for first, last in ((1900, 1997), (1996, 2100), (1996, 2100)):
+        batch = windows.time_slice(records, "date_received", date(first, 1, 1), date(last, 1, 1))
+        store.append_to_store(batch, path, KEY, "date_received")
+    return KeyIndex(spark, store.index_path(path), records.schema[KEY]).keys()
+
+
 # --- load windows ----------------------------------------------------------------------------
 
 
@@ -246,6 +259,73 @@ def inc_window_counts_events(spark, sf_dir):
     return counted.select(day("from_date"), day("to_date"), "n")
 
 
+@query
+def inc_window_extract(spark, sf_dir):
+    """Orders written by load window; the last window comes late and incomplete, and is loaded again."""
+    path, orders = new_path(spark, "windows"), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    bounds = windows.span(orders, "o_orderdate").first()
+    planned = windows.plan_windows(windows.fixed_span(spark, *bounds)).orderBy("from_date").collect()
+    first, unit, last = bounds["from_date"], planned[0]["granularity"], planned[-1]
+    late = (F.col("o_orderdate") >= F.lit(last["from_date"])) & (F.col("o_orderkey") % 3 == 0)
+    windows.write_windows(orders.where(~late), "o_orderdate", path, first, unit)
+    window = (last["from_date"], last["to_date"])
+    windows.rewrite_window(orders, "o_orderdate", path, window, first, unit)
+    return spark.read.parquet(path).select("o_orderkey", day(windows.WINDOW))
+
+
+# --- state by load ---------------------------------------------------------------------------
+
+
+def _recorded(spark, sf_dir, columns, fit) -> DataFrame:
+    """The states of two loads, one of them recorded again after it was recorded from fewer records."""
+    path, df = new_path(spark, "state"), settle(complaints(spark, sf_dir, KEY, *columns), "records")
+    early, late = df.where(F.col(KEY) % 4 != 0), df.where(F.col(KEY) % 4 == 0)
+    for load, part in (("early", early), ("late", late.where(F.col(KEY) % 3 == 0)), ("late", late)):
+        running.record(fit(part, columns), path, load)
+    return running.recorded(spark, path)
+
+
+@query
+def inc_merged_counts(spark, sf_dir):
+    """Category counts of two loads, merged."""
+    return running.merge_counts(_recorded(spark, sf_dir, COMPLAINTS.one_hot, categories.category_counts))
+
+
+@query
+def inc_merged_modes(spark, sf_dir):
+    """Modes that follow from merged counts."""
+    states = _recorded(spark, sf_dir, COMPLAINTS.one_hot, categories.category_counts)
+    return categories.most_frequent(running.merge_counts(states))
+
+
+@query
+def inc_merged_moments(spark, sf_dir):
+    """Counts, means and deviations of two loads, merged; over numbers that lie far from zero too."""
+    path = new_path(spark, "state")
+    df = settle(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_extendedprice").cast("double").alias("price"),
+        (F.col("l_quantity").cast("double") + 1e9).alias("far"),
+        F.when(F.col("l_orderkey") % 5 == 0, F.col("l_linenumber").cast("double")).alias("sparse"),
+    ), "numbers")
+    for load, part in (("a", df.where("l_orderkey % 3 = 0")), ("b", df.where("l_orderkey % 3 = 1")),
+                       ("c", df.where("l_orderkey % 3 = 1")), ("c", df.where("l_orderkey % 3 = 2"))):
+        running.record(running.moments(part, ["price", "far", "sparse"]), path, load)
+    merged = running.merge_moments(running.recorded(spark, path))
+    return merged.select("column", "n", F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation"))
+
+
+@query
+def inc_merged_distinct(spark, sf_dir):
+    """Exact distinct counts, and whether the merged sketches of two loads are near them."""
+    names = [c for c in VIEW_COLUMNS if c != KEY]
+    merged = running.merge_distinct(_recorded(spark, sf_dir, names, running.distinct_state))
+    exact = profile.unique_profile(complaints(spark, sf_dir), names).select("column", F.col("n_unique").alias("exact"))
+    near = F.abs(F.col("n_unique") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))
+    return merged.join(exact, "column").select(
+        "column", F.col("exact").alias("n_unique"), "missing_row", near.alias("within")
+    )
+
+
 @query
 def inc_slice(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -377,13 +457,13 @@ def feat_freq_fit(spark, sf_dir):
     return categories.category_counts(_categories(spark, sf_dir), COMPLAINTS.one_hot)
 
 
-def _frequencies(spark, sf_dir, how: str) -> DataFrame:
+def _frequencies(spark, sf_dir, how: str, **bounds) -> DataFrame:
     """Fitted on the training side, applied to all rows."""
     df = _categories(spark, sf_dir)
     train, _ = sampling.split(df, KEY)
     counts = settle(categories.category_counts(train, COMPLAINTS.one_hot), "frequencies")
     outputs = {c: f"freq_{c}" for c in COMPLAINTS.one_hot}
-    return categories.encode_frequency(df, counts, outputs, how=how).select(KEY, *outputs.values())
+    return categories.encode_frequency(df, counts, outputs, how=how, **bounds).select(KEY, *outputs.values())
 
 
 @query
@@ -396,6 +476,12 @@ def feat_freq_encode_inner(spark, sf_dir):
     return _frequencies(spark, sf_dir, "inner")
 
 
+@query
+def feat_freq_encode_large(spark, sf_dir):
+    """All columns together, as when none of the category tables may be broadcast whole."""
+    return _frequencies(spark, sf_dir, "left", max_rows=2)
+
+
 def _indexed(spark, sf_dir) -> DataFrame:
     df = _categories(spark, sf_dir)
     counts = settle(categories.category_counts(df, COMPLAINTS.one_hot), "category-counts")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkprep.functions import as_timestamp, column
+from sparkprep.sources.key_index import KeyIndex
 from sparkprep.workspace import exists, settle
 
 MONTH = "received_month"
@@ -52,7 +53,7 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
 def unseen(
     df: DataFrame, stored: DataFrame, key: str, offered: DataFrame | None = None
 ) -> DataFrame:
-    """Rows whose key the store lacks.
+    """Rows whose key a table without an index lacks.
 
     The stored keys are first cut down to those in ``df`` (or ``offered``, a table with at least the
     same keys). With a batch that is small enough to broadcast, the store is read map-side, one column
@@ -63,19 +64,31 @@ def unseen(
     return df.join(seen, key, "left_anti")
 
 
+def index_path(path: str) -> str:
+    """Where the index of a store's keys is."""
+    return f"{path.rstrip('/')}_keys"
+
+
 def append_to_store(df: DataFrame, path: str, key: str, received: str) -> None:
     """Append new records, partitioned by month of receipt, in one write.
 
-    Records already stored are skipped, so loading a batch twice equals loading it once. Records
-    without a key can't be told apart and are left out; :func:`sorted_records` names them. The
-    rebalance hint makes Spark split a month that is too large for one task and join small ones. A
-    batch with no new record writes nothing.
+    Records already stored are skipped, so loading a batch twice equals loading it once. They are found
+    by the store's :class:`KeyIndex`, which lies beside it: the store itself is not read, unless the index
+    is missing or an earlier load has left it unfinished. Records without a key can't be told apart and
+    are left out; :func:`sorted_records` names them. The rebalance hint makes Spark split a month that
+    is too large for one task and join small ones. A batch with no new record writes nothing.
     """
+    spark, field = df.sparkSession, df.schema[key]
     batch = settle(df.where(column(key).isNotNull()), "batch")
-    fresh = one_per_key(batch, key)
-    stored = read_if_present(df.sparkSession, path, T.StructType([df.schema[key]]))
-    if stored is not None:
-        fresh = unseen(fresh, stored, key, batch)
+    fresh = settle(one_per_key(batch, key), "one-per-key")
+    index = KeyIndex(spark, index_path(path), field)
+    if not index.is_sound():
+        stored = read_if_present(spark, path, T.StructType([field]))
+        index.write_anew(fresh.limit(0) if stored is None else stored)
+    fresh = settle(index.unseen(fresh), "fresh")
+    if fresh.isEmpty() and exists(spark, path):
+        return
+    index.begin()
     month = F.date_format(F.trunc(as_timestamp(received), "month"), "yyyy-MM")
     (
         fresh.withColumn(MONTH, month)
@@ -84,6 +97,7 @@ def append_to_store(df: DataFrame, path: str, key: str, received: str) -> None:
         .partitionBy(MONTH)
         .parquet(path)
     )
+    index.add(fresh)
 
 
 def sorted_records(

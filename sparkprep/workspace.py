@@ -86,6 +86,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(located)
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files right in a folder."""
+    located, files = _hadoop(spark, path)
+    names = [f.getPath().getName() for f in files.listStatus(located)] if files.exists(located) else []
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table, if it is there."""
     located, files = _hadoop(spark, path)
