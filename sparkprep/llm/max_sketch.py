@@ -6,11 +6,12 @@ gives the greatest impact of a coordinate, whatever the corpus statistics are, a
 of a query's coordinates add up to an upper bound of the document's score. The index holds the
 sketches of all documents and is written once.
 
-A block of queries is answered by descending bounds. The first pass over the sketches finds the ``k``
-documents of the greatest bounds for each query. These are scored exactly, which gives a score that the
-k-th best has at least. The second pass finds all documents whose bound reaches that score, and only
-these are scored, so no document is left out that could be among the best. Texts are read again for
-the documents found, and tasks hand on their best ``k`` only.
+A block of queries is answered by descending bounds. A pass over the sketches finds the documents of the
+greatest bounds for each query. These are scored exactly, which gives a score that the k-th best has at
+least. If documents with lower bounds could still reach it, a larger wave of them raises that score
+first. The last pass finds all documents whose bound reaches the score, and only these are scored, so
+no document is left out that could be among the best. Texts are read again for the documents found,
+and tasks hand on their best ``k`` only.
 """
 
 from __future__ import annotations
@@ -31,8 +32,12 @@ from sparkprep.llm.common import documents, pieces
 from sparkprep.llm.hashing import LOWER
 from sparkprep.workspace import new_path, scratch, settle
 
-WIDTH = 1 << 16
-"""Coordinates of a sketch; two bytes name one."""
+WIDTH = 1 << 20
+"""Coordinates of a sketch. Only those with a term are kept, so more of them cost no room and make the
+bounds of long texts nearer."""
+
+FIRST_WAVE, NEXT_WAVE, MOST_WAVES = 4, 8, 3
+"""The first wave scores so many times ``k`` documents of a query, and each next one so many times more."""
 
 SCALE = 1_000_000_000
 """Fixed value: impacts are whole numbers of this scale, divided by ``1000 * tf + 20 * m``."""
@@ -67,7 +72,7 @@ def length_factors(lengths: list[int], n_docs: int, n_terms: int) -> list[int]:
 def build_index(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(doc_id, n, coordinates, peaks)`` of every row: its number of terms and its sketch.
 
-    ``coordinates`` are those with a term, ascending (16-bit), ``peaks`` the greatest number of
+    ``coordinates`` are those with a term, ascending (32-bit), ``peaks`` the greatest number of
     occurrences in each (32-bit). NULL and empty texts have none.
     """
 
@@ -82,7 +87,7 @@ def build_index(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 order = np.lexsort((times, where))
                 where, times = where[order], times[order]
                 last = np.append(where[1:] != where[:-1], True)[: len(where)]  # the greatest of each
-                places.append(where[last].astype("<u2").tobytes())
+                places.append(where[last].astype("<u4").tobytes())
                 peaks.append(times[last].astype("<u4").tobytes())
             yield pa.RecordBatch.from_pydict(
                 {
@@ -182,9 +187,9 @@ class Scorer:
     def bounds(self, batch: pa.RecordBatch, factors: np.ndarray) -> np.ndarray:
         """Upper bounds of the scores, a row for each query and a column for each document."""
         held = batch.column("coordinates").to_pylist()
-        where = np.frombuffer(b"".join(held), "<u2")
+        where = np.frombuffer(b"".join(held), "<u4")
         times = np.frombuffer(b"".join(batch.column("peaks").to_pylist()), "<u4")
-        docs = np.repeat(np.arange(len(held)), [len(h) // 2 for h in held])
+        docs = np.repeat(np.arange(len(held)), [len(h) // 4 for h in held])
         rows = self.places[where]
         known = rows >= 0
         rows, times, docs = rows[known], times[known].astype(np.int64), docs[known]
@@ -232,7 +237,7 @@ class _Best:
 
 
 def _leading(index: DataFrame, queries: Queries, k: int) -> DataFrame:
-    """``(query, doc_id)`` of the ``k`` documents with the greatest bounds of each query."""
+    """``(query, doc_id, bound, place)`` of the ``k`` documents with the greatest bounds of each query."""
     shared = index.sparkSession.sparkContext.broadcast(queries)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +267,7 @@ def _leading(index: DataFrame, queries: Queries, k: int) -> DataFrame:
         )
 
     found = index.mapInArrow(best, "query int, doc_id bigint, bound bigint")
-    ranked = best_rows(settle(found, "bounds"), "query", [F.desc("bound")], k, "place")
-    return ranked.select("query", "doc_id")
+    return best_rows(settle(found, "bounds"), "query", [F.desc("bound")], k, "place")
 
 
 def _reaching(index: DataFrame, queries: Queries, least: list[int]) -> DataFrame:
@@ -380,10 +384,17 @@ def search(
         frequencies = document_frequencies(docs, {t for found in block.found for t in found})
         block.weights = {t: weight(df, block.n_docs) for t, df in frequencies.items()}
         with scratch(spark):
-            near = settle(_scored(docs, _leading(index, block, k), block, k), "near")
-            places = best_rows(near, "query", order, k, "place").where(F.col("place") == k)
-            scored = {r["query"]: r["score"] for r in places.collect()}  # one row a query at most
-            least = [max(1, scored.get(q, 1)) for q in range(len(block))]
+            wave = FIRST_WAVE * k
+            for _ in range(MOST_WAVES):
+                leading = settle(_leading(index, block, wave), "leading")
+                near = settle(_scored(docs, leading.select("query", "doc_id"), block, k), "near")
+                places = best_rows(near, "query", order, k, "place").where(F.col("place") == k)
+                scored = {r["query"]: r["score"] for r in places.collect()}  # one row a query at most
+                least = [max(1, scored.get(q, 1)) for q in range(len(block))]
+                lowest = leading.where(F.col("place") == wave).collect()  # as many rows at most
+                if all(r["bound"] < least[r["query"]] for r in lowest):
+                    break
+                wave *= NEXT_WAVE
             pairs = settle(_reaching(index, block, least), "reaching")
             hits = settle(_scored(docs, pairs, block, k), "scored")
             ranked = best_rows(hits.drop("query"), "number", order, k, "rank")

@@ -56,7 +56,7 @@ def corpus(rng, size):
     return docs, [(k, draw(rng.randint(1, 25))) for k in range(14)] + [(3, docs[0][1])]
 
 
-@pytest.mark.parametrize("width", [1 << 16, 32])
+@pytest.mark.parametrize("width", [1 << 20, 32])
 def test_equal_to_brute_force(spark, table, width):
     """Also with so few coordinates that most bounds are far too high."""
     rng = random.Random(width)
