@@ -12,6 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,11 +68,44 @@ def scratch(spark: SparkSession) -> Iterator[None]:
                 discard(spark, path)
 
 
+_settled: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+"""Where each settled table was written."""
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Let Spark delete the shuffle files of each query inside once it has ended.
+
+    Without that they stay until the driver happens to collect its garbage. A lost file is made anew.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the table read back."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and return the table read back.
+
+    Its shuffle files go when the table is written, as nothing will read them again.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    with _shuffles_released(spark):
+        df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _settled[table] = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing will read any more."""
+    for table in tables:
+        discard(table.sparkSession, _settled.pop(table))
 
 
 def _hadoop(spark: SparkSession, path: str):
