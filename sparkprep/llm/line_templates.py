@@ -1,14 +1,15 @@
 """Line dedup with a tree of log templates, in DataFrame operations only.
 
 A line goes down a tree of fixed depth: by its number of tokens, then by its leading tokens, where a
-token with a digit is a wildcard. In a leaf, positions on which the lines do not agree are variable
-fields. Lines that agree everywhere else share the leaf's template; any other line is a template of its
-own. Lines with too few tokens for fields are templates as they are, with their numbers. A template that
-recurs across documents is dropped.
+token with a digit is a wildcard. A leaf can hold several templates. A line's family in its leaf is about
+as large as the number of texts that hold most of the line's tokens at their places; tokens that clearly
+fewer texts have there are variable fields, and the others are the template. Lines without such a family
+are templates of their own. Lines with too few tokens for fields are templates as they are, with their
+numbers. A template that recurs across documents is dropped.
 
 Copies of a document share all their lines, and dropping those would empty the copies. So a template
-must recur across documents that are otherwise their own: at least half of their characters are in
-lines that do not recur. Documents with equal texts count once.
+must recur across documents that have something of their own, and not the same: the lines that do not
+recur make half of the text, or a quarter of it and ``own_words`` words. Equal remainders count once.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.llm.common import documents, dropping, hot_join
-from sparkprep.workspace import settle
+from sparkprep.workspace import release, settle
 
 ADDED = ("n_lines", "dropped", "kept_text")
 WILDCARD = "<*>"
@@ -48,6 +49,7 @@ def _lines(docs: DataFrame, text: str, depth: int, least_tokens: int) -> DataFra
         F.when(short, line_hash).otherwise(leaf).alias("leaf"),
         line_hash.alias("line_hash"),
         F.length("line").alias("chars"),
+        F.size("tokens").alias("words"),
     )
 
 
@@ -65,50 +67,60 @@ def line_templates(
     # Only a leaf with several lines, together in enough texts, has variable fields to find.
     leaves = by_line.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("texts").alias("leaf_texts"))
     mixed = settle(leaves.where((F.col("n") > 1) & (F.col("leaf_texts") >= least_docs)), "line-leaves")
-    samples = hot_join(by_line, mixed.drop("leaf_texts"), ["leaf"], "n")
+    samples = hot_join(by_line, mixed, ["leaf"], "n")
     # One place of each such line; its tokens are read from the text there.
     wanted = samples.groupBy(
         F.col("at.at._doc").alias("_at_doc"), F.col("at._text").alias("_at_text")
     ).agg(
-        F.collect_list(F.struct("leaf", "line_hash", "texts", F.col("at.at.place").alias("place"))).alias("wanted")
+        F.collect_list(
+            F.struct("leaf", "line_hash", "texts", "leaf_texts", F.col("at.at.place").alias("place"))
+        ).alias("wanted")
     )
     here = F.col("_doc").eqNullSafe(F.col("_at_doc")) & (F.xxhash64(F.col(text)) == F.col("_at_text"))
     tokens = (
         docs.join(wanted, here)
         .select(F.split(F.col(text), "\n").alias("_lines"), F.explode("wanted").alias("w"))
-        .select(
-            "w.leaf", "w.line_hash", "w.texts",
-            F.split(_masked(F.get("_lines", F.col("w.place"))), " ").alias("tokens"),
-        )
+        .select("w.*", F.split(_masked(F.get("_lines", F.col("w.place"))), " ").alias("tokens"))
         .dropDuplicates(["leaf", "line_hash"])
-    )
-    tokens = settle(tokens, "line-tokens")
-    counted = (
-        tokens.select("leaf", "texts", F.posexplode("tokens").alias("k", "token"))
-        .groupBy("leaf", "k", "token")
-        .agg(F.sum("texts").alias("texts"))
-        .groupBy("leaf", "k")
-        .agg(F.max(F.struct("texts", "token")).alias("top"), F.sum("texts").alias("texts"))
     )
-    fixed = F.when(F.col("top.texts") >= agreement * F.col("texts"), F.col("top.token"))
-    fields = (
-        counted.groupBy("leaf")
-        .agg(F.sort_array(F.collect_list(F.struct("k", fixed.alias("token")))).alias("fields"))
-        .select("leaf", F.transform("fields", lambda f: f["token"]).alias("fields"))
-        .where(F.size(F.filter("fields", lambda f: f.isNotNull())) >= agreement * F.size("fields"))
+    # Leading tokens are those of the leaf, so only the places beyond them are looked at.
+    cells = settle(
+        tokens.select(
+            "leaf", "line_hash", "texts", "leaf_texts", F.size("tokens").alias("size"),
+            F.posexplode("tokens").alias("k", "token"),
+        )
+        .where(F.col("k") >= depth)
+        .select("leaf", "line_hash", "texts", "leaf_texts", "size", "k", F.xxhash64("token").alias("token")),
+        "line-cells",
+    )
+    common = (
+        cells.groupBy("leaf", "k", "token")
+        .agg(F.sum("texts").alias("held"), F.count("*").alias("rows"))
+        .where(F.col("held") >= least_docs)
     )
-    fields = fields.join(mixed.select("leaf", "n"), "leaf")
-    agrees = F.forall(
-        F.zip_with("fields", "tokens", lambda f, t: f.isNull() | (f == t)), lambda same: same
+    common = settle(common, "line-common")
+    # A line's common tokens, with the number of texts that have them at the same place.
+    line = hot_join(cells, common, ["leaf", "k", "token"], "rows").groupBy("leaf", "line_hash").agg(
+        F.first("size").alias("size"),
+        F.first("leaf_texts").alias("leaf_texts"),
+        F.sort_array(F.collect_list(F.struct("k", "token", "held"))).alias("common"),
     )
-    shared = hot_join(tokens, settle(fields, "line-fields"), ["leaf"], "n")
-    shared = shared.where(agrees).select("line_hash", "leaf", F.xxhash64("leaf", F.lit(WILDCARD)).alias("shared"))
-    return (
-        by_line.join(shared, ["leaf", "line_hash"], "left")
-        .select(
-            "leaf", "line_hash", "rows", F.coalesce("shared", "line_hash").alias("template")
-        )
+    held = F.sort_array(F.transform("common", lambda c: c["held"]), asc=False)
+    family = F.get(held, F.ceil(agreement * (F.col("size") - depth)).cast("int") - 1)
+    whole = F.size(F.filter("common", lambda c: c["held"] >= agreement * F.col("leaf_texts")))
+    whole = whole + depth >= agreement * F.col("size")
+    line = line.withColumn("family", F.when(whole, F.col("leaf_texts")).otherwise(family))
+    fixed = F.filter("common", lambda c: c["held"] >= agreement * F.col("family"))
+    shared = line.where("family IS NOT NULL").select(
+        "leaf", "line_hash",
+        F.xxhash64("leaf", F.lit(WILDCARD), F.transform(fixed, lambda c: F.struct(c["k"], c["token"]))).alias("shared"),
+    )
+    found = by_line.join(shared, ["leaf", "line_hash"], "left").select(
+        "leaf", "line_hash", "rows", F.coalesce("shared", "line_hash").alias("template")
     )
+    found = settle(found, "line-templates")
+    release(by_line, mixed, cells, common)
+    return found
 
 
 def drop_recurring_lines(
@@ -119,61 +131,88 @@ def drop_recurring_lines(
     least_docs: int = 3,
     least_tokens: int = 4,
     agreement: float = 0.7,
+    own_words: int = 30,
 ) -> DataFrame:
     """``docs`` with ``n_lines``, ``dropped`` (places of dropped lines, from 0) and ``kept_text``.
 
-    A template is dropped if ``least_docs`` documents hold it that are mostly their own. Lines of fewer
-    than ``least_tokens`` tokens must recur as they are; blank lines are left alone. A NULL text has no lines and stays NULL; a text whose
-    lines all go is empty. Rows with equal ``key`` and text are treated alike, whatever the key.
+    A template is dropped if ``least_docs`` documents hold it whose lines that do not recur differ, and
+    make half of the text, or a quarter and ``own_words`` words. Lines of fewer than ``least_tokens``
+    tokens must recur as they are; blank lines are left alone. A NULL text has no lines and stays NULL; a
+    text whose lines all go is empty. Rows with equal ``key`` and text are treated alike, whatever the key.
     """
     docs = dropping(docs, *ADDED)
     held = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_doc"), F.col(text))
     keys = settle(_lines(held, text, depth, least_tokens), "line-keys")
     templates = line_templates(held, keys, text, depth, least_docs, agreement)
-    templates = settle(templates, "line-templates")
     placed = settle(hot_join(keys, templates, ["leaf", "line_hash"], "rows"), "line-places")
+    release(keys, templates)
 
-    # In how many texts each template is, and how much of each text is in lines that recur.
+    # In how many texts each template is, and what of each text is in lines that do not recur.
     pairs = placed.groupBy("template", "_text").agg(
-        F.count("*").alias("rows"), F.sum("chars").alias("chars")
+        F.count("*").alias("n"),
+        F.sum("chars").alias("chars"),
+        F.sum("words").alias("words"),
+        F.sum(F.shiftrightunsigned("line_hash", 32)).alias("mark"),
     )
     pairs = settle(pairs, "line-pairs")
-    spread = pairs.groupBy("template").agg(
-        F.count("*").alias("texts"), F.count("*").alias("rows")
-    )
+    spread = pairs.groupBy("template").agg(F.count("*").alias("texts"), F.sum("n").alias("rows"))
     recurring = settle(spread.where(F.col("texts") >= least_docs), "line-recurring")
-    recurs = settle(hot_join(pairs.drop("rows"), recurring, ["template"], "rows"), "line-recurs")
-    share = recurs.groupBy("_text").agg(F.sum("chars").alias("recurring_chars"))
-    whole = held.select(F.xxhash64(F.col(text)).alias("_text"), F.length(F.col(text)).alias("all_chars"))
-    own = share.join(whole.dropDuplicates(["_text"]), "_text").where(
-        2 * F.col("recurring_chars") <= F.col("all_chars")
+    recurs = recurring.select("template", F.col("texts").alias("rows"), F.lit(True).alias("recurs"))
+    marked = settle(hot_join(pairs, recurs, ["template"], "rows", "left"), "line-marked")
+    release(pairs)
+    own = F.col("recurs").isNull()
+    texts = marked.groupBy("_text").agg(
+        F.sum("chars").alias("chars"),
+        F.sum(F.when(own, F.col("chars"))).alias("own_chars"),
+        F.sum(F.when(own, F.col("words"))).alias("own_words"),
+        F.sum(F.when(own, F.col("mark"))).alias("mark"),
+        F.bool_or("recurs").alias("recurs"),
     )
+    # Sums are over all rows with that text.
+    rows = held.groupBy(F.xxhash64(F.col(text)).alias("_text")).agg(F.count("*").alias("copies"))
+    much = (4 * F.col("own_chars") >= F.col("chars")) & (F.col("own_words") >= own_words * F.col("copies"))
+    texts = texts.where("recurs").join(rows, "_text").where((2 * F.col("own_chars") >= F.col("chars")) | much)
+    texts = texts.select("_text", (F.col("mark") / F.col("copies")).alias("remainder"))
     boilerplate = (
-        recurs.join(own.select("_text"), "_text")
+        marked.where("recurs")
+        .join(texts, "_text")
+        .select("template", "remainder")
+        .distinct()
         .groupBy("template")
-        .agg(F.count("*").alias("own_texts"))
-        .where(F.col("own_texts") >= least_docs)
+        .agg(F.count("*").alias("remainders"))
+        .where(F.col("remainders") >= least_docs)
     )
-    boilerplate = boilerplate.join(recurring.select("template", "rows"), "template")
-    gone = hot_join(placed, settle(boilerplate, "line-boilerplate"), ["template"], "rows")
-    gone = gone.groupBy("_doc", "_text").agg(F.collect_set("place").alias("dropped"))
-    gone = gone.select(F.col("_doc"), F.col("_text"), F.sort_array("dropped").alias("dropped"))
-
-    all_lines = F.split(F.col(text), "\n")
-    joined = docs.withColumn("_hash", F.xxhash64(F.col(text))).join(
-        gone, F.col(key).eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_text")), "left"
+    boilerplate = settle(boilerplate.join(recurring.select("template", "rows"), "template"), "line-boilerplate")
+    gone = hot_join(placed, boilerplate, ["template"], "rows")
+    gone = gone.groupBy("_doc", "_text").agg(F.sort_array(F.collect_set("place")).alias("dropped"))
+    gone = settle(gone, "line-gone")
+    release(placed, marked, recurring, boilerplate)
+
+    given = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col(key).alias("_key"),
+        F.xxhash64(F.col(text)).alias("_hash"),
     )
-    dropped = F.coalesce(F.col("dropped"), F.array().cast("array<int>"))
-    kept = F.array_join(F.filter(all_lines, lambda x, k: ~F.array_contains("_dropped", k)), "\n")
-    joined = joined.withColumn("_dropped", dropped)
+    joined = given.join(gone, F.col("_key").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_text")), "left")
+    lines = F.split(F.col("row")[text], "\n")
     return joined.select(
-        *(F.col(f"`{c}`") for c in docs.columns),
-        F.coalesce(F.size(all_lines), F.lit(0)).alias("n_lines"),
-        F.col("_dropped").alias("dropped"),
-        F.when(F.col("dropped").isNull(), F.col(text)).otherwise(kept).alias("kept_text"),
+        "row.*",
+        F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
+        F.coalesce(F.col("dropped"), F.array().cast("array<int>")).alias("dropped"),
+        F.when(F.col("dropped").isNull(), F.col("row")[text]).otherwise(_without(lines, F.col("dropped"))).alias("kept_text"),
     )
 
 
+def _without(lines: Column, dropped: Column) -> Column:
+    """The text of ``lines`` without the dropped places, in one sort: a line goes if its place is before it."""
+    kept = F.transform(lines, lambda x, k: F.struct(k.alias("k"), F.lit(1).alias("kind"), x.alias("x")))
+    marks = F.transform(dropped, lambda k: F.struct(k.alias("k"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("x")))
+    both = F.sort_array(F.concat(kept, marks))
+    before = F.slice(F.concat(F.array(F.lit(-1)), F.transform(both, lambda e: F.when(e["kind"] == 0, e["k"]).otherwise(-1))), F.lit(1), F.size(both))
+    stays = F.zip_with(both, before, lambda e, k: F.when(e["k"] != k, e["x"]))
+    return F.array_join(stays, "\n")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of each document that belong to recurring templates, and the text without them."""
     docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long"), "text")
