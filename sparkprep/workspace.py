@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
@@ -102,6 +102,22 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def settle_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Settle what ``make`` returns, and delete what it has settled on the way."""
+    with noted() as held:
+        try:
+            df = make()
+        except BaseException:
+            for path in held:
+                discard(spark, path)
+            raise
+    try:
+        return settle(df, name)
+    finally:
+        for path in held:
+            discard(spark, path)
+
+
 def release(*tables: DataFrame) -> None:
     """Delete settled tables that nothing will read any more."""
     for table in tables:
