@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from sparkprep.llm.common import HOT_ROWS, documents, hot_join, pieces
 from sparkprep.llm.components import components
 from sparkprep.llm.hashing import shingle_sets
-from sparkprep.workspace import settle
+from sparkprep.workspace import release, settle, settle_alone
 
 MANY = np.uint64(0)
 """Owner of an n-gram that several nodes of one chunk have."""
@@ -326,15 +326,18 @@ def similar_groups(
         F.size("hashes") >= smaller
     )
     finalists = settle(finalists, "shingle-finalists")
+    release(left)
 
     # The order of all n-grams: rare ones first, then by hash.
     single = settle(finalists.select("node", "n", F.explode("hashes").alias("hash")), "shingle-postings")
+    release(finalists)
     rarity = single.groupBy("hash").agg(F.count("*").alias("df")).where("df > 1")
     rarity = settle(rarity.withColumn("rows", F.col("df")), "shingle-rarity")
     ranked = hot_join(single, rarity, ["hash"], "rows").groupBy("node", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "hash"))).alias("ordered")
     )
     ranked = settle(ranked.where(F.size("ordered") >= smaller), "shingle-ranked")
+    release(single, rarity)
     alone = F.col("n") - F.size("ordered")  # n-grams nobody else has come first in the order
     length = F.greatest(F.col("n") - smaller + 1 - alone, F.lit(0))
     # against larger sets a shorter prefix will do: the overlap must be larger too
@@ -367,6 +370,7 @@ def similar_groups(
     # every set has its rare fragment, even an empty one
     segments = segments.where((F.size("hashes") > 0) | (F.col("fragment") == 0))
     segments = settle(segments, "shingle-segments")
+    release(ranked)
 
     # The text that copies were made from has the fewest n-grams of its own, and is near to all of them.
     lead = F.min(F.struct("alone", "node", "n", "most"))
@@ -387,16 +391,21 @@ def similar_groups(
     members = prefix.select("hash", *(F.col(c).alias(x) for c, x in (("node", "b"), ("n", "n_b"), ("most", "most_b"))))
     stars = hot_join(members, leads, ["hash"], "rows").where(F.col("a") != F.col("b"))
     stars = settle(stars.where(possible("a", "b")).select("a", "b").distinct(), "shingle-stars")
-    links = settle(_links(stars, segments, percent).select("a", "b"), "shingle-links")
+    release(leads)
+    spark = docs.sparkSession
+    links = settle_alone(spark, lambda: _links(stars, segments, percent).select("a", "b"), "shingle-links")
+    release(stars)
 
-    roots = settle(components(links), "shingle-roots")
+    roots = settle_alone(spark, lambda: components(links), "shingle-roots")
     rooted = prefix.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = settle(rooted, "shingle-rooted")
+    release(prefix, roots)
     across = rooted.groupBy("hash").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")
     )
     across = settle(across.where("low < high").select("hash", "rows"), "shingle-across")
     open_ = settle(hot_join(rooted, across, ["hash"], "rows"), "shingle-open")
+    release(rooted, across)
     names = ("node", "n", "root", "most")
     one = open_.select("hash", *(F.col(c).alias(f"{c}_a") for c in names))
     two = open_.where(~F.col("late")).select("hash", *(F.col(c).alias(f"{c}_b") for c in names))
@@ -404,9 +413,12 @@ def similar_groups(
     below = (F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("node_b") < F.col("node_a")))
     pairs = one.join(two, "hash").where((F.col("root_a") != F.col("root_b")) & below & possible("a", "b"))
     pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    more = _links(settle(pairs.distinct(), "shingle-pairs"), segments, percent).select("a", "b")
-    all_links = links.unionByName(more)
-    roots = settle(components(all_links), "shingle-roots")
+    pairs = settle(pairs.distinct(), "shingle-pairs")
+    release(open_)
+    more = settle_alone(spark, lambda: _links(pairs, segments, percent).select("a", "b"), "shingle-more")
+    release(pairs, segments)
+    roots = settle_alone(spark, lambda: components(links.unionByName(more)), "shingle-roots")
+    release(links, more)
 
     named = settle(
         classes.select("node", "rows", "least", "at").join(roots, "node", "left").withColumn(
@@ -414,11 +426,15 @@ def similar_groups(
         ),
         "shingle-named",
     )
+    release(classes, roots)
     least = named.groupBy("root").agg(
         F.min("least").alias("component_id"), F.min("at").alias("first"), F.count("*").alias("n")
     )
-    named = hot_join(named, settle(least, "shingle-least"), ["root"], "n")
-    named = settle(named.select("node", "rows", "component_id", "first"), "shingle-components")
+    least = settle(least, "shingle-least")
+    found = hot_join(named, least, ["root"], "n").select("node", "rows", "component_id", "first")
+    found = settle(found, "shingle-components")
+    release(named, least)
+    named = found
     linked = hot_join(table.where("n > 0"), named, ["node"], "rows")
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     linked = linked.withColumn("stays", stays)
