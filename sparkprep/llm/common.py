@@ -6,11 +6,13 @@ import io
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from sparkprep.sources.tables import table
 
@@ -81,19 +83,57 @@ def pieces(
                 start = row
 
 
+MOST_HOT_BYTES = 64 << 20
+"""No more bytes than this are ever broadcast with hot keys."""
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row has."""
+    sizes = []
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, StringType | BinaryType):
+            sizes.append(F.octet_length(value))
+        elif isinstance(field.dataType, ArrayType | MapType | StructType):
+            sizes.append(F.octet_length(F.to_json(F.struct(value))))
+        else:
+            sizes.append(F.lit(8))
+    return reduce(Column.__add__, (F.coalesce(s, F.lit(0)).cast("long") for s in sizes))
+
+
 def hot_join(
-    many: DataFrame, one: DataFrame, keys: list[str], rows: str, how: str = "inner"
+    many: DataFrame,
+    one: DataFrame,
+    keys: list[str],
+    rows: str,
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    most_bytes: int = MOST_HOT_BYTES,
 ) -> DataFrame:
     """Join ``many`` to ``one``, which has one row for each key, without a hot task.
 
     ``rows`` is a column of ``one``: how many rows of ``many`` the key has, nearly. Keys with at least
-    ``HOT_ROWS`` rows and a ``1 / MOST_HOT`` share of all rows are hot. There are at most ``MOST_HOT``
-    of them, whatever the input, so they are broadcast; only other rows are shuffled. ``many`` is read
-    twice, so it should be a table.
+    ``hot_rows`` rows and a ``1 / MOST_HOT`` share of all rows are hot. There are at most ``MOST_HOT``
+    of them, whatever the input. If what ``one`` has for them is at most ``most_bytes``, it is
+    broadcast; if it is more, only keys are, which are taken to be short, and hot rows are shuffled in parts:
+    each row of ``one`` is copied for each part of about as many rows as make a key hot. Other rows are
+    shuffled by key. ``many`` is read twice if there are hot keys, so it should be a table.
     """
-    total = one.agg(F.sum(rows)).first()[0] or 0
-    limit = max(HOT_ROWS, total // MOST_HOT)
-    hot = F.broadcast(one.where(F.col(rows) >= limit))
-    rest = many.join(hot.select(*keys), keys, "left_anti")
+    total, most = one.agg(F.sum(rows), F.max(rows)).first()
+    limit = max(hot_rows, (total or 0) // MOST_HOT)
+    if (most or 0) < limit:
+        return many.join(one, keys, how).drop(rows)
+    hot = one.where(F.col(rows) >= limit)
+    rest = many.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     cold = rest.join(one.where(F.col(rows) < limit), keys, how)
-    return many.join(hot, keys).unionByName(cold).drop(rows)
+    if hot.agg(F.sum(_row_bytes(hot))).first()[0] <= most_bytes:
+        apart = many.join(F.broadcast(hot), keys)
+    else:
+        parts = F.ceil(F.col(rows) / limit).cast("int")
+        counts = F.broadcast(hot.select(*keys, parts.alias("_parts")))
+        dealt = many.join(counts, keys).withColumn(
+            "_part", F.pmod(F.monotonically_increasing_id(), F.col("_parts")).cast("int")
+        )
+        copied = hot.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        apart = dealt.drop("_parts").join(copied, [*keys, "_part"]).drop("_part")
+    return apart.unionByName(cold).drop(rows)

@@ -1,0 +1,50 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkprep.llm.common import hot_join
+
+
+def rows(df):
+    return Counter(str(tuple(r)) for r in df.select(*sorted(df.columns)).collect())
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("most_bytes", [1 << 20, 100])
+def test_hot_join(spark, tmp_path, how, most_bytes):
+    """A key with half of all rows, wide rows, keys without a partner and NULL keys; as a plain join."""
+    key = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 5 == 0, 8).otherwise(F.col("id") % 40)
+    spark.range(3000).select(F.nullif(key, F.lit(9)).alias("k"), F.col("id").alias("v")).write.parquet(
+        str(tmp_path / "many")
+    )
+    many = spark.read.parquet(str(tmp_path / "many"))
+    one = many.where("k < 30").groupBy("k").agg(F.count("*").alias("n"))
+    one = one.withColumns({"wide": F.repeat(F.lit("x"), 50), "list": F.array("k", "n")})
+    one.write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    found = hot_join(many, one, ["k"], "n", how, hot_rows=100, most_bytes=most_bytes)
+    assert rows(found) == rows(many.join(one, ["k"], how).drop("n"))
+
+
+def test_wide_hot_rows_are_not_broadcast(spark):
+    many = spark.range(5000).select((F.col("id") % 2).alias("k"), "id")
+    one = many.groupBy("k").agg(F.count("*").alias("n")).withColumn("wide", F.repeat(F.lit("x"), 1000))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda most: hot_join(
+            many, one, ["k"], "n", hot_rows=100, most_bytes=most
+        )._jdf.queryExecution().executedPlan().toString()
+        held = lambda text: [x for x in text.split("\n") if "BroadcastHashJoin" in x]
+        small, large = plan(1 << 20), plan(500)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_part" not in small and len(held(small)) == 2
+    assert any("SortMergeJoin" in x and "_part" in x for x in large.split("\n"))
+
+
+def test_nothing_hot_takes_one_join(spark):
+    many = spark.range(50).select((F.col("id") % 5).alias("k"), "id")
+    one = many.groupBy("k").agg(F.count("*").alias("n"))
+    assert hot_join(many, one, ["k"], "n").count() == 50
+    assert hot_join(many, one.where("k > 99"), ["k"], "n", "left").count() == 50
