@@ -2,12 +2,16 @@
 
 Benchmark texts (questions and answers) and documents are normalised alike: A-Z lower-cased, runs of
 other ASCII than letters and digits as one space. Every window of an item's words is a pattern of the
-automaton. A document is scanned once, and matches are mapped back to its words and characters.
+automaton, whose letters are words: each word of the benchmark has a character of its own, and all others
+share one that is in no pattern. So a window has as many states as words. A document is scanned once, and
+matches are mapped back to its words and characters. An automaton holds at most ``MOST_WORDS`` words of
+benchmark; a larger one takes several scans, one after the other.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -17,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.llm.common import documents, dropping, pieces
+from sparkprep.workspace import settle
 
 # Bytes of words are kept, A-Z lower-cased; every other ASCII byte is a space. Bytes of other
 # characters are all word bytes, so UTF-8 needs no decoding.
@@ -31,20 +36,44 @@ def folded_words(text: str) -> list[bytes]:
     return text.encode().translate(_FOLD).split()
 
 
+MOST_WORDS = 1 << 20
+"""Words of benchmark in one automaton: about half a GB at most, and fewer than there are characters."""
+
+
+def _letter(number: int) -> str:
+    """Characters from 1 on, without surrogates."""
+    return chr(number + 1 if number + 1 < 0xD800 else number + 1 + 0x800)
+
+
+class _Letters(dict):
+    def __missing__(self, word: bytes) -> str:
+        return "\0"
+
+
 class Patterns:
-    """An automaton over the windows of benchmark items."""
+    """An automaton over the windows of benchmark items; its letters are words."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
-        owners: dict[bytes, set[str]] = {}
+        self.letters = _Letters()
+        owners: dict[str, tuple[str, ...]] = {}
+        alike: dict[tuple[str, ...], tuple[str, ...]] = {}  # equal lists of items are held once
         for item, text in items:
             words = folded_words(text)
-            for start in range(max(1, len(words) - window + 1) if words else 0):
-                owners.setdefault(b" ".join(words[start : start + window]), set()).add(item)
+            for word in words:
+                if word not in self.letters:
+                    self.letters[word] = _letter(len(self.letters))
+            line = "".join(map(self.letters.__getitem__, words))
+            for start in range(max(1, len(line) - window + 1) if line else 0):
+                pattern = line[start : start + window]
+                held = owners.get(pattern, ())
+                if item not in held:
+                    found = (*held, item)
+                    owners[pattern] = alike.setdefault(found, found)
         self.automaton = ahocorasick.Automaton()
+        values = {}
         for pattern, found in owners.items():
-            # Latin-1 gives each byte a character of its own
-            padded = (b" " + pattern + b" ").decode("latin-1")
-            self.automaton.add_word(padded, (len(padded), tuple(sorted(found))))
+            value = (len(pattern), found)
+            self.automaton.add_word(pattern, values.setdefault(value, value))
         if owners:
             self.automaton.make_automaton()
         self.empty = not owners
@@ -54,15 +83,11 @@ class Patterns:
         words = folded_words(text)
         if self.empty or not words:
             return len(words), [], set()
-        line = " " + b" ".join(words).decode("latin-1") + " "
         ranges: list[tuple[int, int]] = []
         items: set[str] = set()
-        starts = None
-        for end, (size, owners) in self.automaton.iter(line):
-            if starts is None:  # only texts with a match need the places of their words
-                starts = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32)
-            first, stop = np.searchsorted(starts, (end + 1 - size, end)).tolist()
-            if ranges and first <= ranges[-1][1] and first >= ranges[-1][0]:
+        for end, (size, owners) in self.automaton.iter("".join(map(self.letters.__getitem__, words))):
+            first, stop = end + 1 - size, end + 1
+            if ranges and ranges[-1][0] <= first <= ranges[-1][1]:
                 ranges[-1] = (ranges[-1][0], max(stop, ranges[-1][1]))
             else:
                 ranges.append((first, stop))
@@ -70,6 +95,36 @@ class Patterns:
         return len(words), joined(ranges), items
 
 
+_built: dict[str, Patterns] = {}
+
+
+def _patterns(name: str, items: list[tuple[str, str]], window: int) -> Patterns:
+    """The automaton of a scan, built once by each Python worker, which holds no other."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = Patterns(items, window)
+    return _built[name]
+
+
+def shares(items: list[tuple[str, str]], window: int, most_words: int) -> list[list[tuple[str, str]]]:
+    """The items in lists of at most ``most_words`` words; a longer item is cut, no window of it lost."""
+    if most_words <= window:
+        raise ValueError(f"most_words must be over the window of {window}")
+    out: list[list[tuple[str, str]]] = [[]]
+    held = 0
+    for item, text in items:
+        words = folded_words(text)
+        step = most_words - window + 1
+        for start in range(0, max(1, len(words) - window + 1), step):
+            part = words[start : start + most_words]
+            if held + len(part) > most_words:
+                out.append([])
+                held = 0
+            out[-1].append((item, b" ".join(part).decode()))
+            held += len(part)
+    return out
+
+
 def joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The union of half-open ranges, in order."""
     out: list[tuple[int, int]] = []
@@ -94,33 +149,48 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
     ]
 
 
-FOUND = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
+_RANGES = "_ranges"
+FOUND = (
+    "n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>, "
+    f"{_RANGES} array<array<int>>"
+)
 _ADDED = ("n_words", "n_hit", "items", "spans")
 
 
 def _scan(docs: DataFrame, items: list[tuple[str, str]], window: int, text: str) -> DataFrame:
-    """``docs`` with what an automaton over ``items`` finds."""
+    """``docs`` with what an automaton over ``items`` finds, and with what an earlier scan found."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
-    kept = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    name = uuid.uuid4().hex
+    again = _RANGES in docs.columns
+    kept = [c for c in docs.columns if not again or c not in (*_ADDED, _RANGES)]
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns = Patterns(sent.value, window)
+        patterns = _patterns(name, sent.value, window)
         for batch in pieces(batches, text, 8 << 20):
-            n_words, n_hit, found, spans = [], [], [], []
-            for value in batch.column(text).to_pylist():
+            texts = batch.column(text).to_pylist()
+            if again:
+                before = zip(batch.column(_RANGES).to_pylist(), batch.column("items").to_pylist())
+            else:
+                before = (([], []) for _ in texts)
+            n_words, n_hit, found, spans, all_ranges = [], [], [], [], []
+            for value, (old_ranges, old_items) in zip(texts, before):
                 words, ranges, owners = patterns.scan(value or "")
+                if old_ranges:
+                    ranges = joined([*ranges, *map(tuple, old_ranges)])
                 n_words.append(words)
                 n_hit.append(sum(b - a for a, b in ranges))
-                found.append(sorted(owners))
+                found.append(sorted(owners.union(old_items)))
                 spans.append(original_spans(value, ranges) if ranges else [])
+                all_ranges.append(ranges)
             columns = {c: batch.column(c) for c in kept}
             columns |= {
                 "n_words": pa.array(n_words, pa.int64()),
                 "n_hit": pa.array(n_hit, pa.int64()),
                 "items": pa.array(found, pa.list_(pa.string())),
                 "spans": pa.array(spans, span),
+                _RANGES: pa.array(all_ranges, pa.list_(pa.list_(pa.int32()))),
             }
             yield pa.RecordBatch.from_pydict(columns)
 
@@ -133,24 +203,31 @@ def find_contamination(
     window: int = 10,
     most_bytes: int = 64 << 20,
     text: str = "text",
+    most_words: int = MOST_WORDS,
 ) -> DataFrame:
     """``docs`` with the benchmark windows that occur in each text.
 
     Adds ``n_words``, ``n_hit`` (words inside a window's occurrence), ``items`` (ids as strings,
     sorted) and ``spans`` (character ranges of the text as given). A NULL text has no words. An item
     of fewer words than ``window`` is one pattern; one of none, or a NULL one, has no pattern. Items
-    with equal windows are all named.
+    with equal windows are all named. Given columns of these names are replaced.
 
-    The automaton is sent to every executor, so the benchmark's size is checked first: ``most_bytes``
-    bounds its text, and a larger one is refused, to be split by the caller.
+    The benchmark is sent to every executor, so its size is checked first: ``most_bytes`` bounds its text,
+    and a larger one is refused, to be split by the caller. One with over ``most_words`` words takes several
+    scans, each with an automaton of its own and its result written before the next.
     """
-    docs = dropping(docs, *_ADDED)
+    docs = dropping(docs, *_ADDED, _RANGES)
     given = benchmark.where(F.col("text").isNotNull())
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > most_bytes:
         raise ValueError(f"the benchmark has {size} bytes of text; {most_bytes} can be sent")
     rows = given.select(F.col("item_id").cast("string"), F.col("text").cast("string")).collect()
-    return _scan(docs, [(r[0] or "", r[1]) for r in rows], window, text)
+    scans = shares([(r[0] or "", r[1]) for r in rows], window, most_words)
+    for number, items in enumerate(scans):
+        if number:  # Spark would run the scans of one stage side by side
+            docs = settle(docs, "decontaminate-scan")
+        docs = _scan(docs, items, window, text)
+    return docs.drop(_RANGES)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

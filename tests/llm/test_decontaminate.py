@@ -1,9 +1,10 @@
 import hashlib
+import random
 import re
 
 import pytest
 
-from sparkprep.llm.decontaminate import Patterns, find_contamination, op5_decontamination
+from sparkprep.llm.decontaminate import Patterns, find_contamination, op5_decontamination, shares
 from cases import ODD
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -68,3 +69,39 @@ def test_odd_rows_and_bounds(spark, table):
 
 def test_empty_patterns():
     assert Patterns([], 10).scan("a b") == (2, [], set())
+
+
+def test_several_scans(spark, table):
+    """Windows and items of a benchmark that is split, one item longer than a scan can hold."""
+    rng = random.Random(3)
+    some = [f"W{i}é" for i in range(12)]
+    prose = lambda n: " ".join(rng.choice(some) for _ in range(n))
+    items = [(i, prose(rng.choice([1, 2, 3, 5, 9, 40]))) for i in range(30)]
+    texts = [prose(rng.randrange(60)) for _ in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    assert len(shares([(str(i), t) for i, t in items], 3, 20)) > 5
+    found = find_contamination(table(list(enumerate(texts)), extra=True), benchmark, window=3, most_words=20)
+    rows = found.orderBy("doc_id").collect()
+    for r, (n, hit, owners) in zip(rows, brute(texts, items, 3)):
+        assert (r.n_words, r.n_hit, r["items"]) == (n, hit, owners)
+    assert len(rows) == len(texts) and found.columns.count("n_words") == 1
+
+
+def test_shares_lose_no_window():
+    rng = random.Random(4)
+    items = [(str(i), " ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(50)))) for i in range(20)]
+    windows = lambda given: {
+        (i, tuple(t.split()[k : k + 4])) for i, t in given for k in range(max(1, len(t.split()) - 3)) if t
+    }
+    for most in (5, 9, 30, 1000):
+        found = shares(items, 4, most)
+        assert windows([x for part in found for x in part]) == windows(items)
+        assert max(sum(len(t.split()) for _, t in part) for part in found) <= most
+
+
+def test_very_long_text(spark, table):
+    text = "own words only " * 100_000 + "a b c d " + "own words only " * 100_000
+    benchmark = spark.createDataFrame([(1, "a b c d")], "item_id bigint, text string")
+    (row,) = find_contamination(table([(1, text)]), benchmark).collect()
+    assert (row.n_words, row.n_hit) == (600_004, 4)
+    assert text[row.spans[0].start : row.spans[0].end] == "a b c d"
