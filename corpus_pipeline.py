@@ -22,6 +22,8 @@ from sparkprep.workspace import discard, noted, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
 _left: list[str] = []
 """Intermediate tables of the stage before."""
 
@@ -30,17 +32,20 @@ def stage(function: Stage) -> Stage:
     """A stage that first deletes the intermediate tables of the one before.
 
     What a stage returns is lazy and reads them, so they can go only when it has been written; it has
-    been when the next stage begins, which is given the written table.
+    been when the next stage begins, which is given the written table. Columns that documents do not
+    have are given other names inside, so none clashes with what an operator adds.
     """
 
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         while _left:
             discard(spark, _left.pop())
+        inside = {c: c if c in COLUMNS else f"given__{k}" for k, c in enumerate(docs.columns)}
+        outside = {new: c for c, new in inside.items()}
         with noted() as held:
-            found = function(spark, docs, sf_dir)
+            found = function(spark, docs.select(*(F.col(f"`{c}`").alias(n) for c, n in inside.items())), sf_dir)
         _left.extend(held)
-        return found
+        return found.select(*(F.col(c).alias(outside.get(c, c)) for c in found.columns))
 
     return run_stage
 
@@ -65,7 +70,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of similar ones."""
+    """The first document of each group of similar ones.
+
+    Of several rows with its id and text, the one that is least by its other columns.
+    """
     ship(spark)
     staying = similar_groups(docs).where("stays").select(
         F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")
@@ -73,7 +81,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     held = docs.withColumn("_hash", F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash"))
     kept = held.join(staying.distinct(), same)
-    return kept.dropDuplicates(["_doc_id", "_hash"]).select(*docs.columns)
+    others = F.struct(*(c for c in docs.columns if c != "text"))
+    one = kept.groupBy("_doc_id", "_hash").agg(F.min(others).alias("_least"), F.first("text").alias("text"))
+    return one.select(*(F.col("text") if c == "text" else F.col("_least")[c].alias(c) for c in docs.columns))
 
 
 @stage
