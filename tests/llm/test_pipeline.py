@@ -93,3 +93,28 @@ def test_odd_rows(spark, table):
         assert stage(spark, table(ODD), SF).count() >= 0
     staying = corpus_pipeline.near_duplicates(spark, table(ODD), SF).collect()
     assert Counter(r.text for r in staying)["alike"] == 1
+
+
+CLASHING = ("kept", "n_words", "items", "spans", "_text", "_hash", "dropped", "Kept_Text", "_ranges", "n_hit", "stays")
+
+
+def test_given_columns_stay_as_they_are(spark, table):
+    """Columns with names that operators use go through every stage but the last unchanged."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")) for c in CLASHING})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, SF)
+        assert found.columns == docs.columns
+        kept = found.collect()
+        assert kept and all(r[c] == f"{c}-{r.doc_id}" for r in kept for c in CLASHING)
+
+
+def test_repeated_rows_with_other_columns(spark):
+    """Of rows with one id and text the least by the other columns stays, wherever it stands."""
+    rows = [(1, "a b c d e f", lang, "s", n) for n, lang in enumerate(("fr", "de", "en", None))]
+    names = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for given in (rows[:3], rows[2::-1]):
+        (row,) = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(given, names), SF).collect()
+        assert row.lang == "de"
