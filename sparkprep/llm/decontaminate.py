@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -45,16 +46,11 @@ def _letter(number: int) -> str:
     return chr(number + 1 if number + 1 < 0xD800 else number + 1 + 0x800)
 
 
-class _Letters(dict):
-    def __missing__(self, word: bytes) -> str:
-        return "\0"
-
-
 class Patterns:
     """An automaton over the windows of benchmark items; its letters are words."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
-        self.letters = _Letters()
+        self.letters: dict[bytes, str] = {}
         owners: dict[str, tuple[str, ...]] = {}
         alike: dict[tuple[str, ...], tuple[str, ...]] = {}  # equal lists of items are held once
         for item, text in items:
@@ -85,7 +81,7 @@ class Patterns:
             return len(words), [], set()
         ranges: list[tuple[int, int]] = []
         items: set[str] = set()
-        for end, (size, owners) in self.automaton.iter("".join(map(self.letters.__getitem__, words))):
+        for end, (size, owners) in self.automaton.iter("".join(map(self.letters.get, words, repeat("\0")))):
             first, stop = end + 1 - size, end + 1
             if ranges and ranges[-1][0] <= first <= ranges[-1][1]:
                 ranges[-1] = (ranges[-1][0], max(stop, ranges[-1][1]))
