@@ -15,15 +15,24 @@ def tokenise(df: DataFrame, text: str, output: str = "words") -> DataFrame:
     return df.withColumn(output, tokens(column(text)))
 
 
+TASK_TEXT_BYTES = 16 << 20
+"""Bytes of text whose words one task counts: more text takes more tasks, not more memory a task."""
+
+
 def term_frequencies(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, term, tf)``, without the empty term, given one row per key.
 
     The raw text is shuffled by key, which is less data than the words it splits into. Spark then
-    finds the words already clustered by key and term and counts them without another shuffle.
+    finds the words already clustered by key and term and counts them without another shuffle. The
+    shuffle has a partition for every ``TASK_TEXT_BYTES`` of text at least.
     """
+    given = df.select(column(key), column(text))
+    size = given.agg(F.sum(F.octet_length(column(text)))).first()[0] or 0
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = -(-size // TASK_TEXT_BYTES)
+    dealt = given.repartition(tasks, column(key)) if tasks > least else given.repartition(column(key))
     words = (
-        df.select(column(key), column(text))
-        .repartition(column(key))
+        dealt
         .select(column(key), F.explode(tokens(column(text))).alias("term"))
         .where(F.col("term") != "")
     )
