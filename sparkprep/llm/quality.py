@@ -47,9 +47,26 @@ def _members(pattern: str) -> str:
     return "".join(c for c in map(chr, range(1 << 16)) if not 0xD800 <= ord(c) < 0xE000 and found.fullmatch(c))
 
 
-def _chars(pattern: str, text: str = "_text") -> Column:
-    """Characters of a class: those that deleting its members takes away, without a regular expression."""
-    return F.length(F.col(text)) - F.length(F.translate(F.col(text), _members(pattern), ""))
+SYMBOLS = "[#*$%&|<>]"
+"""The symbols that are counted by themselves, all of the class ``symbol``."""
+
+
+def _marks() -> dict[str, str]:
+    """The members of each class, with the counted symbols apart from the other symbols."""
+    members = {name: _members(pattern) for name, pattern in CHARACTER_CLASSES.items()}
+    counted = _members(SYMBOLS)
+    members["symbol"] = "".join(c for c in members["symbol"] if c not in counted)
+    return {**members, "counted": counted}
+
+
+def _classes(text: str = "_text") -> dict[str, Column]:
+    """Characters of each class: one translate turns every member into the first of its class, and each
+    of those is then counted by a plain replace, without a regular expression."""
+    members = _marks()
+    marked = F.translate(F.col(text), "".join(members.values()), "".join(m[0] * len(m) for m in members.values()))
+    count = lambda m: F.length(marked) - F.length(F.replace(marked, F.lit(m[0]), F.lit("")))
+    found = {name: count(m) for name, m in members.items()}
+    return {**found, "symbol": found["symbol"] + found["counted"]}
 
 
 def _windows(words: str = "_words") -> Column:
@@ -97,7 +114,8 @@ def describe(docs: DataFrame, text: str = "text", carry_text: bool = True) -> Da
         lambda s, x: s + x,
     ) + F.when(F.size("_places") > 0, 3).otherwise(0)
     total = F.length("_text")
-    classes = [_chars(p).cast("double") for p in CHARACTER_CLASSES.values()]
+    counts = _classes()
+    classes = [counts[name].cast("double") for name in CHARACTER_CLASSES]
     held = held.withColumn("_known", F.array(*classes))
     space = list(CHARACTER_CLASSES).index("space")
     known = F.aggregate("_known", F.lit(0.0), lambda s, x: s + x)
@@ -105,7 +123,7 @@ def describe(docs: DataFrame, text: str = "text", carry_text: bool = True) -> Da
         *(F.col(f"`{c}`") for c in kept),
         F.size("_words").cast("long").alias("n_words"),
         (total - F.get("_known", F.lit(space))).cast("long").alias("word_chars"),
-        _chars("[#*$%&|<>]").cast("long").alias("n_symbols"),
+        counts["counted"].cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated.cast("long").alias("n_repeat_words"),
         F.concat("_known", F.array(F.greatest(total - known, F.lit(0.0)))).alias("_classes"),
